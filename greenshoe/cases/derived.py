@@ -6,6 +6,8 @@ every rule of the jobs meets both matching and failing rows.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from greenshoe.sources.tables import spread_scan
+
 BASE = [
     "region",
     "nation",
@@ -238,6 +240,10 @@ def with_clause(*names: str) -> str:
     return ",\n".join(f"{name} AS ({DERIVED[name][1]}\n)" for name in needed(*names))
 
 
+# Tables whose rows are costly to work on.
+TEXTS = {"documents", "pages", "fx_covers", "fx_documents", "fx_landed_facts"}
+
+
 class Tables:
     """Base and derived tables of one data folder as DataFrames."""
 
@@ -246,10 +252,14 @@ class Tables:
         self.folder = folder
 
     def __getitem__(self, name: str) -> DataFrame:
+        table = self._table(name)
+        return spread_scan(table) if name in TEXTS else table
+
+    def _table(self, name: str) -> DataFrame:
         if name in BASE:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         order = needed(name)
         bases = {b for n in order for b in DERIVED[n][0] if b in BASE}
         for base in bases:
-            self[base].createOrReplaceTempView(base)
+            self._table(base).createOrReplaceTempView(base)
         return self.spark.sql(f"WITH {with_clause(name)} SELECT * FROM {name}")

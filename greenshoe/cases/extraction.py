@@ -8,6 +8,7 @@ from greenshoe import fixed_values as V
 from greenshoe.cases.registry import query
 from greenshoe.functions import offering as O
 from greenshoe.functions import text as X
+from greenshoe.operators.cover import cover_text
 from greenshoe.plans import ingest, reports
 from greenshoe.plans import terms as T
 from greenshoe.sources import filings, landed
@@ -425,8 +426,46 @@ def _(t):
 # --- web pages -----------------------------------------------------------------------------------------------------
 
 
-@query("cover_text")
+# Walks the tags of every page with a stack of what is open; each string belongs to the blocks that
+# are open around it.
+PAGE_COVERS = r"""
+WITH RECURSIVE tokens AS (
+  SELECT page_id, generate_subscripts(found, 1) AS i, unnest(found) AS token FROM (
+    SELECT page_id, regexp_extract_all(regexp_replace(html,
+      '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '<x>', 'gs'),
+      '<[^>]*>|[^<]+') AS found FROM pages) q),
+steps AS (
+  SELECT page_id, i, token, lower(regexp_extract(token, '^<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS opened,
+    lower(regexp_extract(token, '^</([a-zA-Z][a-zA-Z0-9]*)', 1)) AS closed FROM tokens),
+walk AS (
+  SELECT page_id, cast(0 AS bigint) AS i, cast([] AS varchar[]) AS tags, cast([] AS bigint[]) AS ids,
+    '' AS token FROM pages
+  UNION ALL
+  SELECT s.page_id, s.i,
+    CASE WHEN s.opened NOT IN ('', 'br', 'hr', 'img', 'input', 'link', 'meta') THEN w.tags || [s.opened]
+      WHEN list_contains(w.tags, s.closed)
+        THEN w.tags[:len(w.tags) - list_position(list_reverse(w.tags), s.closed)]
+      ELSE w.tags END,
+    CASE WHEN s.opened NOT IN ('', 'br', 'hr', 'img', 'input', 'link', 'meta') THEN w.ids || [s.i]
+      WHEN list_contains(w.tags, s.closed)
+        THEN w.ids[:len(w.tags) - list_position(list_reverse(w.tags), s.closed)]
+      ELSE w.ids END, s.token
+  FROM walk w JOIN steps s ON s.page_id = w.page_id AND s.i = w.i + 1),
+strings AS (
+  SELECT page_id, i, ids, tags, trim(replace(replace(replace(replace(replace(replace(token, '&copy;', '©'), '&middot;', '·'),
+    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), chr(32) || chr(9) || chr(10) || chr(13) || chr(160)) AS txt
+  FROM walk WHERE token NOT LIKE '<%'),
+chunks AS (
+  SELECT page_id, id, string_agg(txt, ' ' ORDER BY i) AS chunk FROM (
+    SELECT page_id, i, txt, unnest(ids) AS id, unnest(tags) AS tag FROM strings WHERE txt <> '') q
+  WHERE tag IN ('p', 'div', 'span', 'td') GROUP BY page_id, id),
+kept AS (
+  SELECT *, sum(length(chunk)) OVER (PARTITION BY page_id ORDER BY id) - length(chunk) AS before
+  FROM chunks)
+SELECT p.page_id, coalesce(string_agg(chunk, ' ' ORDER BY id) FILTER (before <= 15000), '') AS cover
+FROM pages p LEFT JOIN kept k ON p.page_id = k.page_id GROUP BY p.page_id"""
+
+
+@query("cover_text", [], PAGE_COVERS)
 def _(t):
-    from greenshoe.operators.cover import cover_text
-
     return t["pages"].select("page_id", cover_text(F.col("html")).alias("cover"))

@@ -23,8 +23,5 @@ def query(name: str, reads: list[str] | None = None, sql: str | None = None):
 
 
 def with_tables(reads: list[str], sql: str) -> str:
-    """``sql`` as a complete statement; one that starts with ``,`` goes on with the WITH list."""
     tables = with_clause(*reads)
-    if sql.lstrip().startswith(","):
-        return f"WITH RECURSIVE {tables}{sql}"
     return f"WITH {tables}\n{sql}" if tables else sql

@@ -87,6 +87,8 @@ SHARE_PATTERNS = [
 ]
 SHARE_BOUNDS = (10_000, 1_000_000_000)
 
+WHITESPACE_PATTERN = r"\s+"
+
 # --- cover page -------------------------------------------------------------------------------
 COVER_TAGS = ["p", "div", "span", "td"]
 COVER_CHARS = 15_000

@@ -50,8 +50,8 @@ def price(text: Column) -> Column:
     return F.coalesce(*ranges, *singles)
 
 
-def _number(text: Column) -> Column:
-    return ascii_digits(text).try_cast("double")
+def _number(match: Column) -> Column:
+    return ascii_digits(match).try_cast("double")
 
 
 def _price_range(text: Column, pattern: str) -> Column:
@@ -60,15 +60,15 @@ def _price_range(text: Column, pattern: str) -> Column:
     def bounds(match: Column) -> Column:
         # Both numbers are cut from the short match, so the cover is searched once.
         return F.struct(
-            _number(F.regexp_extract(match, java, 1)).alias("low"),
-            _number(F.regexp_extract(match, java, 2)).alias("high"),
+            let(F.regexp_extract(match, java, 1), _number).alias("low"),
+            let(F.regexp_extract(match, java, 2), _number).alias("high"),
         )
 
     def accept(pair: Column) -> Column:
         low, high = pair["low"], pair["high"]
         return F.when(low.between(*V.RANGE_LOW_BOUNDS) & (low <= high), pair)
 
-    return let(F.regexp_extract(text, java, 0), lambda match: let(bounds(match), accept))
+    return _first_match(text, java, 0, lambda match: let(bounds(match), accept))
 
 
 def _single_price(text: Column, pattern: str) -> Column:
@@ -76,7 +76,14 @@ def _single_price(text: Column, pattern: str) -> Column:
         pair = F.struct(number.alias("low"), number.alias("high"))
         return F.when(number.between(*V.SINGLE_PRICE_BOUNDS), pair)
 
-    return let(_number(F.regexp_extract(text, regex(pattern, ignore_case=True), 1)), accept)
+    java = regex(pattern, ignore_case=True)
+    return _first_match(text, java, 1, lambda match: let(_number(match), accept))
+
+
+def _first_match(text: Column, java: str, group: int, body) -> Column:
+    """``body`` of the first match; NULL, without evaluating ``body``, where nothing matches."""
+    found = F.regexp_extract(text, java, group)
+    return let(found, lambda match: F.when(match != "", body(match)))
 
 
 def shares(text: Column) -> Column:
@@ -85,11 +92,15 @@ def shares(text: Column) -> Column:
 
 
 def _share_count(text: Column, pattern: str) -> Column:
-    def accept(match: Column) -> Column:
-        digits = F.replace(match, F.lit(","), F.lit(""))
+    def in_bounds(number: Column) -> Column:
+        return F.when(number.between(*V.SHARE_BOUNDS), number)
+
+    def count(digits: Column) -> Column:
+        no_digits = F.lit(NO_DIGITS).cast("bigint")
         number = ascii_digits(digits).try_cast("bigint")
-        return F.when((match != "") & (digits == ""), F.lit(NO_DIGITS).cast("bigint")).when(
-            number.between(*V.SHARE_BOUNDS), number
-        )
+        return F.when(digits == "", no_digits).otherwise(let(number, in_bounds))
 
-    return let(F.regexp_extract(text, regex(pattern, ignore_case=True), 1), accept)
+    java = regex(pattern, ignore_case=True)
+    return _first_match(
+        text, java, 1, lambda match: let(F.replace(match, F.lit(","), F.lit("")), count)
+    )

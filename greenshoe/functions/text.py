@@ -6,13 +6,9 @@ from pyspark.sql import functions as F
 from greenshoe import fixed_values as V
 from greenshoe.functions.dialect import regex
 
-# Only what changes is matched: a run of two or more, or one character that is no plain space.
-_WHITESPACE_TO_SQUEEZE = regex(r"\s{2,}|[\s\x1c-\x1f&&[^ ]]")
-
-
 def normalize_whitespace(text: Column) -> Column:
     """Every run of whitespace becomes one space; the ends are not trimmed."""
-    return F.regexp_replace(text, _WHITESPACE_TO_SQUEEZE, " ")
+    return F.regexp_replace(text, regex(V.WHITESPACE_PATTERN), " ")
 
 
 def strip(text: Column) -> Column:

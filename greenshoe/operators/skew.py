@@ -1,6 +1,6 @@
 """Joins against a lookup table when a few keys hold much of the data."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_PART = 1_000_000
@@ -26,23 +26,18 @@ def hot_keys(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> Dat
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    hot: DataFrame,
-    spread_by: list[Column],
-    how: str = "left",
+    facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, how: str = "left"
 ) -> DataFrame:
     """Equi-join of ``facts`` with a lookup table that has about one row per key.
 
-    The rows of a hot key are dealt to ``_parts`` parts by ``spread_by``, and only the lookup rows
-    of hot keys are repeated, once per part. Every other key keeps the single part 0.
+    The rows of a hot key are dealt to its ``_parts`` parts, and only the lookup rows of hot keys
+    are repeated, once per part. Every other key keeps the single part 0.
     ``how`` is ``left``, ``inner`` or ``left_semi``.
 
-    ``spread_by`` must give a repeated task the same values again: columns that tell the rows of
-    a key apart, or ``monotonically_increasing_id()`` on rows that come straight from a scan.
+    The part follows from the row and the task it is in. So exact copies are spread as well, and
+    a task that is repeated deals its rows the same way, in whatever order it gets them.
     """
-    spread = F.xxhash64(*spread_by)
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns])
     dealt = (
         facts.join(F.broadcast(hot), key, "left")
         .withColumn(

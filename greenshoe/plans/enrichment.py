@@ -19,14 +19,8 @@ def eligible_ciks(mart: DataFrame, as_of: date) -> DataFrame:
 def eligible_facts(
     landed: DataFrame, ciks: DataFrame, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
-    """Landed rows of eligible companies.
-
-    A company with very many rows is dealt to several tasks by place in the scan, so ``landed``
-    must be a table as it is read.
-    """
-    hot = hot_keys(landed, "cik", rows_per_part)
-    spread_by = [F.monotonically_increasing_id()]
-    return lookup_join(landed, ciks, "cik", hot, spread_by, how="left_semi")
+    """Landed rows of eligible companies; a company with very many rows is dealt to many tasks."""
+    return lookup_join(landed, ciks, "cik", hot_keys(landed, "cik", rows_per_part), "left_semi")
 
 
 def post_ipo_financials(landed: DataFrame) -> DataFrame:
@@ -52,5 +46,4 @@ def enrich(landed: DataFrame, mart: DataFrame, as_of: date) -> DataFrame:
     financials = post_ipo_financials(landed).select(*POST_IPO_FINANCIALS.names)
     # What is counted for hot keys is the landed table, not the parsed one: one column, no JSON.
     hot = hot_keys(landed, "cik")
-    spread_by = [F.monotonically_increasing_id()]
-    return lookup_join(financials, eligible_ciks(mart, as_of), "cik", hot, spread_by, "left_semi")
+    return lookup_join(financials, eligible_ciks(mart, as_of), "cik", hot, "left_semi")

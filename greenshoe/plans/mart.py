@@ -69,7 +69,7 @@ def mart_base(
     )
     hot = hot_keys(filings, "cik", rows_per_part)
     cap = X.market_cap(F.col("shares_outstanding"), F.col("shares_offered"), F.col("final_price"))
-    return lookup_join(offerings, dimensions, "cik", hot, [F.col("accession_number")]).select(
+    return lookup_join(offerings, dimensions, "cik", hot).select(
         "cik",
         "company_name",
         "filing_date",

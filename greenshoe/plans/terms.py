@@ -106,9 +106,6 @@ def fold_responses(
     A filing whose answer never came is an error row. With ``filings`` given, only documents of
     those filings are kept. The cover is dropped before the join, so only short rows are
     shuffled, and once for both purposes.
-
-    ``extracted`` must come from a scan without a shuffle in between: copies of one document are
-    dealt to several tasks by their place in the scan, which a repeated task finds again.
     """
     short = extracted.drop("cover").withColumn("_open", needs_fallback())
     answers = parse_responses(responses).select(
@@ -122,13 +119,12 @@ def fold_responses(
         F.lit(V.METHOD_ERROR).alias("extraction_method"),
     )
     hot = hot_keys(short, "accession_number", rows_per_part)
-    spread_by = [F.monotonically_increasing_id()]
     if filings is None:
-        joined = lookup_join(short, answers, "accession_number", hot, spread_by)
+        joined = lookup_join(short, answers, "accession_number", hot)
     else:
         wanted = filings.select("accession_number").distinct()
         answers = wanted.join(answers, "accession_number", "left")
-        joined = lookup_join(short, answers, "accession_number", hot, spread_by, how="inner")
+        joined = lookup_join(short, answers, "accession_number", hot, "inner")
     own = F.struct(*TERMS)
     chosen = F.when(F.col("_open"), F.coalesce("_answer", error)).otherwise(own)
     others = [c for c in short.columns if c not in TERMS and c != "_open"]

@@ -22,11 +22,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def spread_scan(table: DataFrame) -> DataFrame:
+    """A table as it is read, spread over all cores if its files give fewer splits than that.
+
+    Meant for text that is costly per row. A large table has splits enough and is left alone;
+    only a table of a few files is shuffled. ``table`` must hold no join or aggregation.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Append rows; keys are not checked, the staging views remove duplicates."""
     writer = df.write.mode("append")
     if partition_by:
-        # One writer per value and task group, so that a day does not end in thousands of files.
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
 
