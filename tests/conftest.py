@@ -1,0 +1,38 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from greenshoe.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[8]",
+        spark_sql_shuffle_partitions="8",
+        spark_ui_enabled="false",
+        spark_driver_memory="8g",
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def plan():
+    """The physical plan of a DataFrame as text."""
+
+    def text(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return text
