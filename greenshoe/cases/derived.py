@@ -250,6 +250,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         table = self._table(name)
@@ -257,7 +258,9 @@ class Tables:
 
     def _table(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name not in self.read:
+                self.read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self.read[name]
         order = needed(name)
         bases = {b for n in order for b in DERIVED[n][0] if b in BASE}
         for base in bases:

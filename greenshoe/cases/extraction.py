@@ -410,16 +410,17 @@ def _(t):
 
 @query(
     "cover_samples",
-    ["fx_covers"],
-    """SELECT row_number() OVER (ORDER BY filing_date DESC, accession_number) - 1 AS "index",
-  company_name AS company, cik, cast(filing_date AS varchar) AS filing_date, filing_url AS url,
-  substring(cover, 1, 3000) AS cover_3000,
-  array_to_string(regexp_extract_all(cover, '\\$[\\s\\x{00A0}]*[\\d,\\.]+[^\\n]{0,60}'), '|')
+    ["fx_cover_parts"],
+    f"""SELECT "index", company_name AS company, f.cik, cast(f.filing_date AS varchar) AS filing_date,
+  filing_url AS url, substring(cover, 1, 3000) AS cover_3000,
+  array_to_string(regexp_extract_all(cover, '\\$[\\s\\x{{00A0}}]*[\\d,\\.]+[^\\n]{{0,60}}'), '|')
     AS dollar_matches
-FROM fx_covers ORDER BY filing_date DESC, accession_number LIMIT 100""",
+FROM (SELECT *, row_number() OVER (ORDER BY filing_date DESC, accession_number) - 1 AS "index"
+  FROM fx_cover_parts) f JOIN ({DOCUMENT_COVERS}) d ON f.accession_number = d.accession_number
+WHERE "index" < 100 AND cover IS NOT NULL""",
 )
 def _(t):
-    samples = reports.cover_samples(_covers(t), 100)
+    samples = reports.cover_samples(_covers(t).drop("cover"), t["fx_documents"], 100)
     return samples.withColumn("dollar_matches", F.array_join("dollar_matches", "|"))
 
 

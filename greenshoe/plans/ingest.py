@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from greenshoe import fixed_values as V
 from greenshoe.operators.latest import latest_by
 from greenshoe.plans import terms as T
-from greenshoe.session import materialize
 from greenshoe.sources.filings import filings_in_range
 from greenshoe.sources.landed import company_metadata, document_covers
 
@@ -64,8 +63,3 @@ def open_requests(documents: DataFrame, start: date, end: date) -> DataFrame:
     """What has to be asked of the fallback service for a range of days."""
     covers = document_covers(documents_between(documents, start, end))
     return T.fallback_requests(T.extract(covers))
-
-
-def extracted_once(documents: DataFrame) -> DataFrame:
-    """Covers and terms written once, for runs that need both the requests and the terms."""
-    return materialize(T.extract(document_covers(documents)), "extracted")

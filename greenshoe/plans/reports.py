@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import text as X
+from greenshoe.sources.landed import document_covers
 
 
 def top_valued(mart: DataFrame, n: int = 10) -> DataFrame:
@@ -63,14 +64,17 @@ def with_dollar_phrases(covers: DataFrame) -> DataFrame:
     )
 
 
-def cover_samples(covers: DataFrame, n: int) -> DataFrame:
-    """The rows of the sample file: the first ``n`` covers, numbered.
+def cover_samples(filings: DataFrame, documents: DataFrame, n: int) -> DataFrame:
+    """The rows of the sample file: the first ``n`` filings, numbered, with their covers.
 
-    The numbering comes after the limit, so it sees ``n`` rows only.
+    The filings are chosen first, so at most ``n`` documents are parsed. The numbering and the
+    broadcast see ``n`` rows. Filings without a readable document are left out.
     """
     newest = Window.orderBy(F.desc("filing_date"), F.asc("accession_number"))
-    numbered = sample_filings(covers, n).withColumn("index", F.row_number().over(newest) - 1)
-    return with_dollar_phrases(numbered).select(
+    chosen = sample_filings(filings, n).withColumn("index", F.row_number().over(newest) - 1)
+    keys = ["cik", "accession_number", "filing_date"]
+    covers = document_covers(documents.join(F.broadcast(chosen), keys))
+    return with_dollar_phrases(covers.where(F.col("cover").isNotNull())).select(
         "index",
         F.col("company_name").alias("company"),
         "cik",

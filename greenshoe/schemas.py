@@ -3,7 +3,6 @@
 from pyspark.sql import types as T
 
 
-
 def _struct(**columns) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
@@ -25,6 +24,7 @@ LANDED_BODY = _struct(cik=STRING, http_status=INT, body=STRING)
 LANDED_DOCUMENT = _struct(
     cik=STRING, accession_number=STRING, filing_date=DATE, http_status=INT, html=STRING
 )
+FALLBACK_RESPONSES = _struct(accession_number=STRING, raw=STRING)
 
 # --- raw layer --------------------------------------------------------------------------------
 COMPANIES = _struct(

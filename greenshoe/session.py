@@ -15,13 +15,23 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
+# On a cluster: many small reduce tasks, which adaptive execution merges up to the advisory size.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app: str = "greenshoe", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` uses ``_`` for ``.`` in names."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = SETTINGS | {name.replace("_", "."): value for name, value in extra.items()}
+    on_cluster = not (master or "").startswith("local")
+    settings = SETTINGS | (CLUSTER_SETTINGS if on_cluster else {})
+    settings |= {name.replace("_", "."): value for name, value in extra.items()}
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -33,11 +33,17 @@ def spread_scan(table: DataFrame) -> DataFrame:
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Append rows; keys are not checked, the staging views remove duplicates."""
-    writer = df.write.mode("append")
+    """Append rows; keys are not checked, the staging views remove duplicates.
+
+    With ``partition_by`` the rows are gathered by that column first, so that a range of days does
+    not end in a file per task and day. The rebalance still splits a day that is very large.
+    """
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(
+            path
+        )
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def rebuild(df: DataFrame, path: str) -> None:
@@ -45,6 +51,25 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _version(path: str, number: int) -> str:
+    return f"{path}/version={number}"
+
+
+def write_version(df: DataFrame, path: str, number: int) -> None:
+    """Write one version of a table. The same version written again replaces itself."""
+    df.write.mode("overwrite").parquet(_version(path, number))
+
+
+def read_version(spark: SparkSession, path: str, number: int, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(_version(path, number))
+
+
+def last_version(spark: SparkSession, path: str) -> int | None:
+    """The newest complete version; files of an unfinished one are not visible to the reader."""
+    versions = spark.read.schema("version int").parquet(path)
+    return versions.agg(F.max("version")).first()[0]
+
+
 def publish_view(df: DataFrame, table: str) -> None:
     df.createOrReplaceTempView(table)
 

@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from greenshoe.operators.latest import newest
 from greenshoe.operators.upsert import upsert
 from greenshoe.schemas import COMPANIES
 from greenshoe.sources.landed import company_metadata
+from greenshoe.sources.tables import last_version, read_version, write_version
 
 
 def landed_stream(
@@ -36,18 +37,9 @@ def append_raw(stream: DataFrame, path: str, checkpoint: str, stamp: str) -> Str
     )
 
 
-COMPANIES_VERSIONED = StructType(COMPANIES.fields + [StructField("version", IntegerType())])
-
-
-def _version(path: str, number: int) -> str:
-    return f"{path}/version={number}"
-
-
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version of the company table."""
-    versions = spark.read.schema(COMPANIES_VERSIONED).parquet(path)
-    last = versions.agg(F.max("version")).first()[0]
-    return spark.read.schema(COMPANIES).parquet(_version(path, last))
+    return read_version(spark, path, last_version(spark, path), COMPANIES)
 
 
 def upsert_companies(
@@ -68,10 +60,10 @@ def upsert_companies(
         if number == 0:
             current = initial
         else:
-            current = spark.read.schema(COMPANIES).parquet(_version(path, number - 1))
+            current = read_version(spark, path, number - 1, COMPANIES)
         incoming = company_metadata(batch, "landed_at").withColumn("ingested_at", now())
         merged = upsert(current, incoming, ["cik"], [newest("landed_at")])
-        merged.select(*COMPANIES.names).write.mode("overwrite").parquet(_version(path, number))
+        write_version(merged.select(*COMPANIES.names), path, number)
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -74,12 +74,13 @@ def test_csv_export_reads_back(spark, folder, tmp_path):
 
 
 def test_sample_file(spark, folder, tmp_path):
-    covers = Tables(spark, folder)["fx_covers"]
+    t = Tables(spark, folder)
     path = str(tmp_path / "samples")
-    samples = reports.cover_samples(covers, 20)
+    samples = reports.cover_samples(t["fx_covers"].drop("cover"), t["fx_documents"], 20)
     tables.write_samples(samples, path)
     back = tables.read_samples(spark, path)
-    assert sorted(r["index"] for r in back.collect()) == list(range(20))
+    found = {r["index"] for r in back.collect()}
+    assert found < set(range(20)) and len(found) > 10  # some documents could not be fetched
     assert {f.name for f in back.schema} == {f.name for f in samples.schema}
 
 
