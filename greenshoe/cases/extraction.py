@@ -180,19 +180,18 @@ def _(t):
 
 
 METADATA = """
-SELECT cik, company_name, sic_code, sic_description, state_of_incorp, fiscal_year_end
-FROM fx_companies WHERE cast(cik AS int) % 23 <> 0 AND cast(cik AS int) % 19 <> 0
-  AND cast(cik AS int) % 31 <> 0"""
+SELECT c.* FROM fx_companies c JOIN fx_landed_submissions s ON c.cik = s.cik
+WHERE s.http_status < 400 AND s.body <> '<busy>'"""
 
 
-@query("company_metadata", ["fx_companies"], METADATA)
+@query("company_metadata", ["fx_landed_submissions"], METADATA)
 def _(t):
     return landed.company_metadata(t["fx_landed_submissions"])
 
 
 @query(
     "company_lookup",
-    ["fx_companies", "fx_filing_index"],
+    ["fx_landed_submissions", "fx_filing_index"],
     f"""SELECT * FROM ({METADATA}) m WHERE cik IN (SELECT cik FROM fx_filing_index
   WHERE form_type = 'S-1' AND filing_url IS NOT NULL
     AND filing_date BETWEEN DATE '{START}' AND DATE '{END}')""",
@@ -319,7 +318,7 @@ def _(t):
 
 @query(
     "run_summary",
-    [*DOCUMENTS, "fx_companies", "fx_filing_index"],
+    [*DOCUMENTS, "fx_landed_submissions", "fx_filing_index"],
     f"""SELECT 'filings' AS measure, count(*) AS n FROM fx_filing_index
 UNION ALL SELECT 'extracted', count(*) FROM ({TERMS}) t WHERE extraction_method <> 'error'
 UNION ALL SELECT 'companies', count(*) FROM ({METADATA}) m""",
@@ -411,7 +410,7 @@ def _(t):
 @query(
     "cover_samples",
     ["fx_cover_parts"],
-    f"""SELECT "index", company_name AS company, f.cik, cast(f.filing_date AS varchar) AS filing_date,
+    f"""SELECT cast("index" AS int) AS "index", company_name AS company, f.cik, cast(f.filing_date AS varchar) AS filing_date,
   filing_url AS url, substring(cover, 1, 3000) AS cover_3000,
   array_to_string(regexp_extract_all(cover, '\\$[\\s\\x{{00A0}}]*[\\d,\\.]+[^\\n]{{0,60}}'), '|')
     AS dollar_matches

@@ -237,7 +237,9 @@ SELECT cast(c_custkey AS string) AS cik,
     AS trailing_revenue,
   cast((c_custkey + 1) * 100 AS bigint) AS shares_outstanding,
   CASE WHEN c_custkey % 4 = 0 THEN '2023-12-31' END AS fiscal_year_end
-FROM customer WHERE c_custkey % 23 <> 0 AND c_custkey % 19 <> 0 AND c_custkey % 17 <> 0"""
+FROM customer JOIN fx_landed_facts f ON cast(c_custkey AS string) = f.cik
+WHERE f.http_status < 400 AND f.body <> '{"facts":{}}'"""
+REVENUE_READS = ["fx_landed_facts"]
 
 
 @query("eligible_ciks", RAW, ELIGIBLE)
@@ -261,7 +263,7 @@ def _facts(t):
 
 @query(
     "trailing_revenue",
-    [],
+    REVENUE_READS,
     f"SELECT cik, revenue_tag, trailing_revenue FROM ({REVENUE}) r WHERE revenue_tag IS NOT NULL",
 )
 def _(t):
@@ -276,7 +278,7 @@ def _(t):
     )
 
 
-@query("shares_outstanding", [], f"SELECT cik, shares_outstanding FROM ({REVENUE}) r")
+@query("shares_outstanding", REVENUE_READS, f"SELECT cik, shares_outstanding FROM ({REVENUE}) r")
 def _(t):
     return (
         _facts(t)
@@ -287,7 +289,7 @@ def _(t):
 
 @query(
     "fiscal_year_end",
-    [],
+    REVENUE_READS,
     f"SELECT cik, fiscal_year_end FROM ({REVENUE}) r WHERE fiscal_year_end IS NOT NULL",
 )
 def _(t):
@@ -300,7 +302,7 @@ def _(t):
 
 @query(
     "xbrl_facts",
-    [],
+    REVENUE_READS,
     f"""SELECT cik, fiscal_year_end, trailing_revenue, shares_outstanding, revenue_tag
 FROM ({REVENUE}) r WHERE revenue_tag IS NOT NULL""",
 )
@@ -310,7 +312,7 @@ def _(t):
 
 @query(
     "weekly_enrichment",
-    RAW,
+    [*RAW, *REVENUE_READS],
     f"""SELECT cik, fiscal_year_end, trailing_revenue, shares_outstanding, revenue_tag
 FROM ({REVENUE}) r WHERE revenue_tag IS NOT NULL AND cik IN ({ELIGIBLE})""",
 )

@@ -26,6 +26,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generated column, for costly expressions that are filtered on later.
+
+    Catalyst copies a projected expression into the filters above it and would evaluate it again
+    there, once per use. It does not push a filter below the generator that made its column.
+    The price: the value is computed even where only other columns of the row are wanted.
+    """
+    return F.explode(F.array(value))
+
+
 _DIGITS = "".join(chr(c) for c in range(128, sys.maxunicode) if unicodedata.category(chr(c)) == "Nd")
 _ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 

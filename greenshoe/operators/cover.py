@@ -10,13 +10,19 @@ from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from greenshoe import fixed_values as V
 
+# The reader travels to the executors with the query, so they need not have this package installed.
+# It must therefore use names of this module only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCKS = frozenset(V.COVER_TAGS)
+LIMIT = V.COVER_CHARS
 # Tags that cannot hold anything, and tags whose text is not shown.
 VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen link"
@@ -145,7 +151,7 @@ def read_cover(html: str | None) -> str | None:
     if html is None:
         return None
     try:
-        return _CoverReader(V.COVER_CHARS).cover(html)
+        return _CoverReader(LIMIT).cover(html)
     except (AssertionError, ValueError):
         return None
 

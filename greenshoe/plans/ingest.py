@@ -33,7 +33,7 @@ def terms_of(
     never moves HTML or covers.
     """
     extracted = T.extract(document_covers(documents))
-    return T.keep_for(mode, T.fold_responses(extracted, responses, filings))
+    return T.keep_for(mode, T.fold_responses(extracted, responses, filings, documents))
 
 
 def batch(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import offering as O
-from greenshoe.functions.dialect import regex
+from greenshoe.functions.dialect import once, regex
 from greenshoe.functions.text import normalize_whitespace, strip
 from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
 
@@ -20,22 +20,31 @@ def extract(covers: DataFrame) -> DataFrame:
     A cover that is NULL, or whose share count has no digit, gives an error row: type unknown,
     method ``error`` and no figures.
     """
-    found = covers.withColumn("_text", normalize_whitespace(F.col("cover"))).select(
-        *covers.columns,
-        O.offering_type(F.col("cover")).alias("_type"),
-        O.price(F.col("_text")).alias("_price"),
-        O.shares(F.col("_text")).alias("_shares"),
+    text = F.col("_text")
+    found = F.struct(
+        O.offering_type(F.col("cover")).alias("type"),
+        O.price(text).alias("price"),
+        O.shares(text).alias("shares"),
     )
-    failed = F.col("cover").isNull() | F.coalesce(F.col("_shares") == O.NO_DIGITS, F.lit(False))
-    return found.withColumn("_failed", failed).select(
-        *covers.columns,
-        F.when(F.col("_failed"), V.UNKNOWN).otherwise(F.col("_type")).alias("offering_type"),
-        F.when(~F.col("_failed"), F.col("_shares")).alias("shares_offered"),
-        F.when(~F.col("_failed"), F.col("_price.low")).alias("price_low"),
-        F.when(~F.col("_failed"), F.col("_price.high")).alias("price_high"),
-        F.when(F.col("_failed"), V.METHOD_ERROR)
-        .otherwise(V.METHOD_REGEX)
-        .alias("extraction_method"),
+    failed = F.col("cover").isNull() | F.coalesce(F.col("_f.shares") == O.NO_DIGITS, F.lit(False))
+
+    def unless_failed(value: str, otherwise: str | None = None):
+        return F.when(F.col("_failed"), F.lit(otherwise)).otherwise(F.col(value))
+
+    return (
+        covers.withColumn("_text", normalize_whitespace(F.col("cover")))
+        .select(*covers.columns, once(found).alias("_f"))
+        .withColumn("_failed", failed)
+        .select(
+            *covers.columns,
+            unless_failed("_f.type", V.UNKNOWN).alias("offering_type"),
+            unless_failed("_f.shares").alias("shares_offered"),
+            unless_failed("_f.price.low").alias("price_low"),
+            unless_failed("_f.price.high").alias("price_high"),
+            F.when(F.col("_failed"), V.METHOD_ERROR)
+            .otherwise(V.METHOD_REGEX)
+            .alias("extraction_method"),
+        )
     )
 
 
@@ -99,6 +108,7 @@ def fold_responses(
     extracted: DataFrame,
     responses: DataFrame,
     filings: DataFrame | None = None,
+    documents: DataFrame | None = None,
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Replace the terms of the filings that needed the fallback by its answer.
@@ -106,6 +116,9 @@ def fold_responses(
     A filing whose answer never came is an error row. With ``filings`` given, only documents of
     those filings are kept. The cover is dropped before the join, so only short rows are
     shuffled, and once for both purposes.
+
+    ``documents`` names the table the covers come from. Its accession numbers are counted to find
+    filings with very many copies, which spares a second extraction just for the count.
     """
     short = extracted.drop("cover").withColumn("_open", needs_fallback())
     answers = parse_responses(responses).select(
@@ -118,7 +131,8 @@ def fold_responses(
         F.lit(None).cast("double").alias("price_high"),
         F.lit(V.METHOD_ERROR).alias("extraction_method"),
     )
-    hot = hot_keys(short, "accession_number", rows_per_part)
+    counted = extracted if documents is None else documents
+    hot = hot_keys(counted, "accession_number", rows_per_part)
     if filings is None:
         joined = lookup_join(short, answers, "accession_number", hot)
     else:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenshoe.functions import facts as FX
+from greenshoe.functions.dialect import once
 from greenshoe.operators.cover import cover_text
 from greenshoe.schemas import MALFORMED, SUBMISSION_BODY
 
@@ -38,7 +39,7 @@ def company_metadata(landed: DataFrame, *keep: str) -> DataFrame:
     body = F.from_json("body", SUBMISSION_BODY, {"columnNameOfCorruptRecord": MALFORMED})
     return (
         answered(landed)
-        .select("cik", *keep, body.alias("b"))
+        .select("cik", *keep, once(body).alias("b"))
         .where(F.col("b").isNotNull() & F.col(f"b.{MALFORMED}").isNull())
         .select(
             "cik",
@@ -54,15 +55,17 @@ def company_metadata(landed: DataFrame, *keep: str) -> DataFrame:
 
 def company_facts(landed: DataFrame) -> DataFrame:
     """``cik`` and the three figures of each company-facts body, as found (NULL: not found)."""
+    facts = F.col("facts")
+    figures = F.struct(
+        FX.trailing_revenue(facts).alias("revenue"),
+        FX.shares_outstanding(facts).alias("shares"),
+        FX.fiscal_year_end(facts).alias("year_end"),
+    )
     return (
         answered(landed)
         .select("cik", FX.parse_facts(F.col("body")).alias("facts"))
-        .select(
-            "cik",
-            FX.trailing_revenue(F.col("facts")).alias("revenue"),
-            FX.shares_outstanding(F.col("facts")).alias("shares"),
-            FX.fiscal_year_end(F.col("facts")).alias("year_end"),
-        )
+        .select("cik", once(figures).alias("f"))
+        .select("cik", "f.*")
     )
 
 
