@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # ``\s`` of the specification also covers the four separator control characters.
 _SPACE = r"[\s\x1c-\x1f]"
@@ -36,6 +37,17 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def json_object(body: Column, schema: StructType, malformed: str | None = None) -> Column:
+    """A JSON object by schema, strictly read: no single quotes, nothing after the object.
+
+    NULL where the body is no object; ``malformed`` names a field of the schema for broken text.
+    """
+    options = {"allowSingleQuotes": "false"}
+    if malformed:
+        options["columnNameOfCorruptRecord"] = malformed
+    return F.from_json(F.when(F.rtrim(body, F.lit(" \n\r\t")).endswith("}"), body), schema, options)
+
+
 _DIGITS = "".join(chr(c) for c in range(128, sys.maxunicode) if unicodedata.category(chr(c)) == "Nd")
 _ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 

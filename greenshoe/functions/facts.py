@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from greenshoe import fixed_values as V
-from greenshoe.functions.dialect import let
+from greenshoe.functions.dialect import json_object, let
 from greenshoe.schemas import FACT
 
 
@@ -30,7 +30,7 @@ def _body_schema() -> T.StructType:
 
 
 def parse_facts(body: Column) -> Column:
-    return F.from_json(body, _body_schema())["facts"]
+    return json_object(body, _body_schema())["facts"]
 
 
 def _series(facts: Column, space: str, tag: str, unit: str) -> Column:

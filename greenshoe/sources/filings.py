@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greenshoe.functions.dialect import json_object
 from greenshoe.schemas import ATTACHMENTS_BODY, FILING_INDEX
 
 COLUMNS = FILING_INDEX.names
@@ -30,7 +31,7 @@ def filings_in_range(index: DataFrame, form: str, start: date, end: date) -> Dat
 
 def attachments(index: DataFrame, body: str = "attachments") -> DataFrame:
     """One row per document of a filing, from the JSON listing in column ``body``."""
-    listed = F.from_json(body, ATTACHMENTS_BODY)["attachments"]
+    listed = json_object(F.col(body), ATTACHMENTS_BODY)["attachments"]
     return index.select(
         "accession_number", F.posexplode(listed).alias("position", "document")
     ).select(

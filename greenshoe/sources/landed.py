@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenshoe.functions import facts as FX
-from greenshoe.functions.dialect import once
+from greenshoe.functions.dialect import json_object, once
 from greenshoe.operators.cover import cover_text
 from greenshoe.schemas import MALFORMED, SUBMISSION_BODY
 
@@ -36,7 +36,7 @@ def company_metadata(landed: DataFrame, *keep: str) -> DataFrame:
 
     Columns named in ``keep`` are passed on.
     """
-    body = F.from_json("body", SUBMISSION_BODY, {"columnNameOfCorruptRecord": MALFORMED})
+    body = json_object(F.col("body"), SUBMISSION_BODY, MALFORMED)
     return (
         answered(landed)
         .select("cik", *keep, once(body).alias("b"))

@@ -71,6 +71,15 @@ def test_chosen_fact_without_figure_drops_the_company(spark):
     assert post_ipo_financials(df).count() == 0
 
 
+def test_broken_bodies_are_skipped(spark):
+    good = json.dumps({"facts": BODIES["1"]})
+    bad = [good[:-5], good + " x", good.replace('"', "'"), "[" + good + "]", "null", ""]
+    rows = [(str(i), 200, body) for i, body in enumerate([good + "\n", *bad])]
+    df = spark.createDataFrame(rows, "cik string, http_status int, body string")
+    assert [row.cik for row in post_ipo_financials(df).collect()] == ["0"]
+    assert [row.cik for row in company_metadata(df).collect()] == ["0"]
+
+
 def test_no_shuffle(spark, plan):
     assert "Exchange" not in plan(company_facts(landed(spark)))
 
