@@ -8,22 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from greenshoe.sources.tables import spread_scan
 
-BASE = [
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-    "documents",
-    "embeddings",
-    "pages",
-    "benchmark",
-    "labels",
-    "conversations",
-]
+# Columns of the base tables that are read often; the others are read with the schema they carry.
+BASE: dict[str, str | None] = {
+    "region": None,
+    "nation": None,
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": None,
+    "part": None,
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": None,
+    "events": None,
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": None,
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": None,
+    "labels": None,
+    "conversations": None,
+}
 
 _ACCESSION = (
     "lpad(cast(o_orderkey AS string), 10, '0') || '-24-' ||"
@@ -259,7 +262,9 @@ class Tables:
     def _table(self, name: str) -> DataFrame:
         if name in BASE:
             if name not in self.read:
-                self.read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                schema = BASE[name]
+                reader = self.spark.read.schema(schema) if schema else self.spark.read
+                self.read[name] = reader.parquet(f"{self.folder}/{name}.parquet")
             return self.read[name]
         order = needed(name)
         bases = {b for n in order for b in DERIVED[n][0] if b in BASE}

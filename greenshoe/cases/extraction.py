@@ -234,7 +234,7 @@ def _(t):
     f"SELECT accession_number, {_type_sql('cover')} AS offering_type FROM fx_covers",
 )
 def _(t):
-    kind = O.offering_type(F.col("cover"))
+    kind = O.offering_type(F.lower("cover"))
     return _covers(t).select("accession_number", kind.alias("offering_type"))
 
 

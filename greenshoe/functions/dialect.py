@@ -54,5 +54,5 @@ _ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 def ascii_digits(text: Column) -> Column:
     """Digits of any script as 0-9, so that they can be cast. ``text`` is used three times."""
-    is_ascii = F.octet_length(text) == F.length(text)
-    return F.when(is_ascii, text).otherwise(F.translate(text, _DIGITS, _ASCII_DIGITS))
+    has_others = text.rlike(r"[\p{Nd}&&[^0-9]]")
+    return F.when(has_others, F.translate(text, _DIGITS, _ASCII_DIGITS)).otherwise(text)

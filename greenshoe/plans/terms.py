@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import offering as O
-from greenshoe.functions.dialect import once, regex
+from greenshoe.functions.dialect import ascii_digits, once, regex
 from greenshoe.functions.text import normalize_whitespace, strip
 from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
 
@@ -22,7 +22,7 @@ def extract(covers: DataFrame) -> DataFrame:
     """
     text = F.col("_text")
     found = F.struct(
-        O.offering_type(F.col("cover")).alias("type"),
+        O.offering_type(F.col("_lower")).alias("type"),
         O.price(text).alias("price"),
         O.shares(text).alias("shares"),
     )
@@ -32,7 +32,9 @@ def extract(covers: DataFrame) -> DataFrame:
         return F.when(F.col("_failed"), F.lit(otherwise)).otherwise(F.col(value))
 
     return (
-        covers.withColumn("_text", normalize_whitespace(F.col("cover")))
+        covers.withColumn("_lower", F.lower("cover"))
+        .withColumn("_text", normalize_whitespace(F.col("cover")))
+        .withColumn("_text", ascii_digits(text))
         .select(*covers.columns, once(found).alias("_f"))
         .withColumn("_failed", failed)
         .select(
