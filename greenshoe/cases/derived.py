@@ -244,7 +244,7 @@ def with_clause(*names: str) -> str:
 
 
 # Tables whose rows are costly to work on.
-TEXTS = {"documents", "pages", "fx_covers", "fx_documents", "fx_landed_facts"}
+TEXTS = {"pages", "fx_covers", "fx_documents", "fx_landed_facts"}
 
 
 class Tables:

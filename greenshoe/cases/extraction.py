@@ -12,6 +12,7 @@ from greenshoe.operators.cover import cover_text
 from greenshoe.plans import ingest, reports
 from greenshoe.plans import terms as T
 from greenshoe.sources import filings, landed
+from greenshoe.sources.tables import spread_scan
 
 DAY = date(1998, 10, 3)
 START, END = date(1998, 1, 1), date(1998, 6, 30)
@@ -217,7 +218,7 @@ FROM documents""",
 )
 def _(t):
     normalized = X.normalize_whitespace(F.col("text"))
-    return t["documents"].select("doc_id", normalized.alias("normalized"))
+    return spread_scan(t["documents"]).select("doc_id", normalized.alias("normalized"))
 
 
 @query("text_preview", [], "SELECT doc_id, substring(text, 1, 500) AS preview FROM documents")
@@ -341,8 +342,8 @@ SELECT *, generate_subscripts(found, 1) AS position, unnest(found) AS phrase FRO
 
 @query("dollar_phrases", ["fx_covers"], f"SELECT accession_number, phrase FROM ({PHRASES}) p")
 def _(t):
-    phrases = X.dollar_phrases(F.col("cover"))
-    return _covers(t).select("accession_number", F.explode(phrases).alias("phrase"))
+    phrases = F.explode("dollar_matches").alias("phrase")
+    return reports.with_dollar_phrases(_covers(t)).select("accession_number", phrases)
 
 
 @query(
@@ -353,8 +354,8 @@ def _(t):
   0, 'i')[1:10]) AS phrase FROM fx_covers""",
 )
 def _(t):
-    phrases = X.share_phrases(F.col("cover"))
-    return _covers(t).select("accession_number", F.explode(phrases).alias("phrase"))
+    phrases = F.explode("share_matches").alias("phrase")
+    return reports.with_share_phrases(_covers(t)).select("accession_number", phrases)
 
 
 @query(

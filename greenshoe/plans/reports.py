@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import text as X
+from greenshoe.functions.dialect import once
 from greenshoe.sources.landed import document_covers
 
 
@@ -59,11 +60,19 @@ def sample_filings(filings: DataFrame, n: int) -> DataFrame:
 
 def with_dollar_phrases(covers: DataFrame) -> DataFrame:
     """The start of every cover and the dollar phrases of the whole cover."""
-    return covers.withColumn("dollar_matches", X.dollar_phrases(F.col("cover"))).withColumn(
-        "cover_3000", F.substring("cover", 1, V.SAMPLE_CHARS)
+    return covers.select(
+        *covers.columns,
+        F.substring("cover", 1, V.SAMPLE_CHARS).alias("cover_3000"),
+        once(X.dollar_phrases(F.col("cover"))).alias("dollar_matches"),
     )
 
 
+def with_share_phrases(covers: DataFrame) -> DataFrame:
+    """The first phrases of the whole cover that look like a large share count."""
+    phrases = once(X.share_phrases(F.col("cover"))).alias("share_matches")
+    return covers.select(*covers.columns, phrases)
+
+
 def cover_samples(filings: DataFrame, documents: DataFrame, n: int) -> DataFrame:
     """The rows of the sample file: the first ``n`` filings, numbered, with their covers.
 

@@ -42,13 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without: it gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="greenshoe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="greenshoe-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
