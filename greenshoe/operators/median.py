@@ -19,7 +19,7 @@ def exact_median(df: DataFrame, group: str, value: str, margin: float = MARGIN)
     """``(group, mean, median)`` over the non-NULL values; a NULL group is a group too.
 
     ``group`` must have few values (it is a sector here): one row per group is broadcast.
-    ``df`` is read three times, so pass a table, not a long plan.
+    ``df`` is read twice, so pass a table, not a long plan.
     """
     known = df.where(F.col(value).isNotNull()).select(
         F.col(group).alias("_g"), F.col(value).alias("_v")
@@ -28,30 +28,25 @@ def exact_median(df: DataFrame, group: str, value: str, margin: float = MARGIN)
         known.groupBy("_g")
         .agg(
             F.count("*").alias("_n"),
-            F.avg("_v").alias("mean"),
+            F.avg("_v").alias("_mean"),
             F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], ACCURACY).alias("_b"),
         )
-        .select("_g", "_n", "mean", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
+        .select("_g", "_n", "_mean", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
     )
     near = _ranked_middle(known, bounds)
     # The sketch's promise is checked; a group it failed for is ranked whole.
-    missed = bounds.join(F.broadcast(near), _same_group(bounds, near), "left_anti")
+    ranked = F.broadcast(near.select(F.col("_g").alias("_done")))
+    missed = bounds.join(ranked, F.col("_g").eqNullSafe(F.col("_done")), "left_anti")
     everything = missed.withColumn("_low", F.lit(float("-inf"))).withColumn(
         "_high", F.lit(float("nan"))
     )
     medians = near.unionByName(_ranked_middle(known, everything))
-    return bounds.join(F.broadcast(medians), _same_group(bounds, medians), "left").select(
-        bounds["_g"].alias(group), "mean", "median"
-    )
-
-
-def _same_group(left: DataFrame, right: DataFrame):
-    return left["_g"].eqNullSafe(right["_g"])
+    return medians.select(F.col("_g").alias(group), F.col("_mean").alias("mean"), "median")
 
 
 def _ranked_middle(known: DataFrame, bounds: DataFrame) -> DataFrame:
-    """``(group, median)`` from the values between the bounds, where they hold the middle ranks."""
-    small = bounds.select(F.col("_g").alias("_bg"), "_n", "_low", "_high")
+    """Mean and median of the groups whose middle ranks lie between their bounds."""
+    small = bounds.withColumnRenamed("_g", "_bg")
     side = (
         F.when(F.col("_v") < F.col("_low"), BELOW)
         .when(F.col("_v") <= F.col("_high"), BETWEEN)
@@ -62,7 +57,7 @@ def _ranked_middle(known: DataFrame, bounds: DataFrame) -> DataFrame:
         known.join(F.broadcast(small), F.col("_g").eqNullSafe(F.col("_bg")))
         .withColumn("_side", side)
         .withColumn("_v", F.when(F.col("_side") == BETWEEN, F.col("_v")))
-        .groupBy("_g", "_n", "_side", "_v")
+        .groupBy("_g", "_n", "_mean", "_side", "_v")
         .agg(F.count("*").alias("_c"))
     )
     running = (
@@ -75,16 +70,16 @@ def _ranked_middle(known: DataFrame, bounds: DataFrame) -> DataFrame:
     middle = (
         tally.withColumn("_to", F.sum("_c").over(running))
         .withColumn("_from", F.col("_to") - F.col("_c") + 1)
-        .where((F.col("_side") == BETWEEN))
+        .where(F.col("_side") == BETWEEN)
         .where((F.col("_from") <= upper_rank) & (F.col("_to") >= lower_rank))
     )
     return (
-        middle.groupBy("_g", "_n")
+        middle.groupBy("_g", "_n", "_mean")
         .agg(
             F.min("_from").alias("_from"),
             F.max("_to").alias("_to"),
             ((F.min("_v") + F.max("_v")) / 2).alias("median"),
         )
         .where((F.col("_from") <= lower_rank) & (F.col("_to") >= upper_rank))
-        .select("_g", "median")
+        .select("_g", "_mean", "median")
     )
