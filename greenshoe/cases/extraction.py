@@ -270,14 +270,16 @@ def _(t):
     AND filing_url IS NOT NULL AND filing_date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}')""",
 )
 def _(t):
+    documents = t["fx_documents"]
     return ingest.batch(
         t["fx_filing_index"],
-        t["fx_documents"],
+        ingest.extract_days(documents, FIRST_DAY, LAST_DAY),
         t["fx_landed_submissions"],
         t["fx_fallback_responses"],
         FIRST_DAY,
         LAST_DAY,
         mode=T.BACKFILL,
+        documents=documents,
     )["offering_terms"]
 
 
@@ -288,7 +290,7 @@ def _(t):
 FROM ({_extracted_sql(f"({DOCUMENT_COVERS}) d")}) e WHERE {OPEN}""",
 )
 def _(t):
-    return ingest.open_requests(t["fx_documents"], FIRST_DAY, LAST_DAY)
+    return T.fallback_requests(ingest.extract_days(t["fx_documents"], FIRST_DAY, LAST_DAY))
 
 
 @query("fold_fallback", ["fx_orders"], ANSWERS)

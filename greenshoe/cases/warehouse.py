@@ -40,21 +40,13 @@ SELECT cik, trailing_revenue, shares_outstanding FROM (
   SELECT *, row_number() OVER (PARTITION BY cik ORDER BY fiscal_year_end DESC NULLS FIRST) AS rn
   FROM fx_post_ipo_financials WHERE trailing_revenue > 0) q WHERE rn = 1"""
 
-SECTOR_MAP = """
+_SECTORS = "\n".join(
+    f"  WHEN sic_code BETWEEN '{low}' AND '{high}' THEN '{name}'" for low, high, name in V.SECTOR_RULES
+)
+SECTOR_MAP = f"""
 SELECT cik, sic_code, sic_description, CASE
-  WHEN sic_code BETWEEN '7370' AND '7379' THEN 'Software & IT Services'
-  WHEN sic_code BETWEEN '2830' AND '2839' THEN 'Pharmaceuticals'
-  WHEN sic_code = '8731' THEN 'Biotech R&D'
-  WHEN sic_code BETWEEN '3840' AND '3849' THEN 'Medical Devices'
-  WHEN sic_code BETWEEN '6020' AND '6029' THEN 'Banks'
-  WHEN sic_code BETWEEN '6311' AND '6411' THEN 'Insurance'
-  WHEN sic_code BETWEEN '3670' AND '3679' THEN 'Semiconductors'
-  WHEN sic_code BETWEEN '5800' AND '5899' THEN 'Restaurants & Retail'
-  WHEN sic_code BETWEEN '1311' AND '1389' THEN 'Oil & Gas'
-  WHEN sic_code BETWEEN '4812' AND '4899' THEN 'Telecom'
-  WHEN sic_code = '6798' THEN 'REITs'
-  WHEN sic_code = '6726' THEN 'Investment Funds'
-  ELSE 'Other' END AS sector
+{_SECTORS}
+  ELSE '{V.OTHER_SECTOR}' END AS sector
 FROM fx_companies WHERE sic_code IS NOT NULL"""
 
 FILINGS_TERMS = f"""
@@ -76,14 +68,15 @@ SELECT b.cik, company_name, filing_date, accession_number, sic_code, sic_descrip
 FROM ({FILINGS_TERMS}) b LEFT JOIN ({SECTOR_MAP}) s ON b.cik = s.cik
   LEFT JOIN ({LATEST_FINANCIALS}) fin ON b.cik = fin.cik"""
 
+# The benchmark as window functions, where the library aggregates and joins.
 FACT = f"""
-SELECT *, avg(price_to_sales_ratio) OVER w AS sector_avg_ps,
-  median(price_to_sales_ratio) OVER w AS sector_median_ps,
-  CASE WHEN price_to_sales_ratio IS NULL THEN 'No revenue data'
-    WHEN price_to_sales_ratio > median(price_to_sales_ratio) OVER w * 1.5e0 THEN 'Richly valued'
-    WHEN price_to_sales_ratio < median(price_to_sales_ratio) OVER w * 0.7e0 THEN 'Cheaply valued'
-    ELSE 'In line with sector' END AS valuation_flag
-FROM ({MART_BASE}) m WINDOW w AS (PARTITION BY sector)"""
+SELECT *, CASE WHEN price_to_sales_ratio IS NULL THEN '{V.FLAG_NO_REVENUE}'
+    WHEN price_to_sales_ratio > sector_median_ps * {V.RICH_FACTOR}e0 THEN '{V.FLAG_RICH}'
+    WHEN price_to_sales_ratio < sector_median_ps * {V.CHEAP_FACTOR}e0 THEN '{V.FLAG_CHEAP}'
+    ELSE '{V.FLAG_IN_LINE}' END AS valuation_flag
+FROM (SELECT *, avg(price_to_sales_ratio) OVER w AS sector_avg_ps,
+    median(price_to_sales_ratio) OVER w AS sector_median_ps
+  FROM ({MART_BASE}) m WINDOW w AS (PARTITION BY sector)) v"""
 
 # Means are rounded: the engines add in another order, which shows in the last digits.
 ROUNDED_FACT = f"""

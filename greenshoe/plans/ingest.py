@@ -24,42 +24,44 @@ def documents_between(documents: DataFrame, start: date, end: date) -> DataFrame
     return documents.where(F.col("filing_date").between(F.lit(start), F.lit(end)))
 
 
-def terms_of(
-    documents: DataFrame, responses: DataFrame, mode: str, filings: DataFrame | None = None
-) -> DataFrame:
-    """Terms of landed documents, the fallback answers folded in.
+def documents_between(documents: DataFrame, start: date, end: date) -> DataFrame:
+    """Landed documents of a range of days; prunes the partitions of the table."""
+    return documents.where(F.col("filing_date").between(F.lit(start), F.lit(end)))
 
-    With ``filings`` given, only their documents count. The join comes after the extraction and
-    never moves HTML or covers.
-    """
+
+def extract_days(documents: DataFrame, start: date, end: date) -> DataFrame:
+    """Covers and terms of the documents of a range of days, before the fallback."""
+    return T.extract(document_covers(documents_between(documents, start, end)))
+
+
+def terms_of(documents: DataFrame, responses: DataFrame, mode: str) -> DataFrame:
+    """Terms of landed documents, the fallback answers folded in."""
     extracted = T.extract(document_covers(documents))
-    return T.keep_for(mode, T.fold_responses(extracted, responses, filings, documents))
+    return T.keep_for(mode, T.fold_responses(extracted, responses, documents=documents))
 
 
 def batch(
     index: DataFrame,
-    documents: DataFrame,
+    extracted: DataFrame,
     landed_metadata: DataFrame,
     responses: DataFrame,
     start: date,
     end: date,
     mode: str = T.DAILY,
     form: str = V.PROSPECTUS_FORM,
+    documents: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Filings, companies and terms of a range of days; one day is the daily job.
 
-    A backfill is this one job over its whole range, not a loop over days.
+    A backfill is this one job over its whole range, not a loop over days. ``extracted`` comes
+    from ``extract_days``; give ``documents`` too where it is a plan and not a written table.
+    Only the documents of the filings count. That join comes after the extraction and never
+    moves HTML or covers.
     """
     filings = filings_in_range(index, form, start, end)
-    landed = documents_between(documents, start, end)
+    terms = T.fold_responses(extracted, responses, filings, documents)
     return {
         "prospectus_filings": filings,
         "companies": company_lookup(filings, landed_metadata),
-        "offering_terms": terms_of(landed, responses, mode, filings),
+        "offering_terms": T.keep_for(mode, terms),
     }
-
-
-def open_requests(documents: DataFrame, start: date, end: date) -> DataFrame:
-    """What has to be asked of the fallback service for a range of days."""
-    covers = document_covers(documents_between(documents, start, end))
-    return T.fallback_requests(T.extract(covers))

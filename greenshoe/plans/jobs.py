@@ -1,8 +1,12 @@
 """The jobs over folders of tables: ingest, weekly enrichment and mart build.
 
-    landed/  filing_index documents submissions company_facts fallback_responses
-    raw/     prospectus_filings offering_terms post_ipo_financials companies/version=N
-    marts/   fct_ipo_offerings
+    landed/   filing_index documents submissions company_facts fallback_responses
+    staging/  extracted fallback_requests
+    raw/      prospectus_filings offering_terms post_ipo_financials companies/version=N
+    marts/    fct_ipo_offerings
+
+Documents are parsed once, by ``extract_days``. The requests and the terms both start from what it
+wrote, as the answers of the fallback service come in between.
 
 Run dates are parameters. The mart decides which companies are enriched and enrichment feeds the
 mart, so the order is: mart, enrichment, mart again.
@@ -16,8 +20,7 @@ from pyspark.sql import functions as F
 
 from greenshoe import schemas as S
 from greenshoe.operators.upsert import upsert
-from greenshoe.plans import enrichment, ingest, mart
-from greenshoe.plans.terms import DAILY
+from greenshoe.plans import enrichment, ingest, mart, terms
 from greenshoe.sources import tables
 
 LANDED = {
@@ -52,6 +55,11 @@ class Warehouse:
     def raw(self, table: str) -> DataFrame:
         return tables.read_table(self.spark, self.path(tables.RAW, table), RAW[table])
 
+    def extracted(self, start: date, end: date) -> DataFrame:
+        path = self.path(tables.STAGING, "extracted")
+        table = tables.read_table(self.spark, path, S.EXTRACTED)
+        return ingest.documents_between(table, start, end)
+
     def companies(self) -> DataFrame:
         path = self.path(tables.RAW, "companies")
         return tables.read_version(
@@ -80,8 +88,8 @@ def load(w: Warehouse, batch: dict[str, DataFrame], version: int) -> None:
     filings = batch["prospectus_filings"].withColumn("ingested_at", now)
     name = "prospectus_filings"
     tables.append(filings, w.path(tables.RAW, name), PARTITIONS[name])
-    terms = batch["offering_terms"].withColumn("extracted_at", now)
-    tables.append(_typed(terms, S.OFFERING_TERMS), w.path(tables.RAW, "offering_terms"))
+    found = batch["offering_terms"].withColumn("extracted_at", now)
+    tables.append(_typed(found, S.OFFERING_TERMS), w.path(tables.RAW, "offering_terms"))
     path = w.path(tables.RAW, "companies")
     current = tables.read_version(w.spark, path, version - 1, S.COMPANIES)
     incoming = batch["companies"].withColumn("ingested_at", now)
@@ -92,11 +100,24 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str = DAILY) -> None:
+def extract_days(w: Warehouse, start: date, end: date) -> None:
+    """Parse the documents of a range of days; repeated, it replaces its days."""
+    extracted = ingest.extract_days(w.landed("documents"), start, end)
+    path = w.path(tables.STAGING, "extracted")
+    tables.replace_days(_typed(extracted, S.EXTRACTED), path, "filing_date")
+
+
+def request_fallback(w: Warehouse, start: date, end: date) -> None:
+    """Write what the fallback service has to be asked, one JSON line per filing."""
+    requests = terms.fallback_requests(w.extracted(start, end), "filing_date")
+    tables.replace_days(requests, w.path(tables.STAGING, "fallback_requests"), "filing_date", "json")
+
+
+def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str = terms.DAILY) -> None:
     """The daily job (one day) or the backfill (a range of days in one job)."""
     batch = ingest.batch(
         w.landed("filing_index"),
-        w.landed("documents"),
+        w.extracted(start, end),
         w.landed("submissions"),
         w.landed("fallback_responses"),
         start,

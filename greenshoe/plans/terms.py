@@ -60,12 +60,11 @@ def needs_fallback():
     )
 
 
-def fallback_requests(extracted: DataFrame) -> DataFrame:
-    """The request table for the filings that need the fallback."""
+def fallback_requests(extracted: DataFrame, *keep: str) -> DataFrame:
+    """The request table for the filings that need the fallback; ``keep`` names further columns."""
     sample = F.substring("cover", 1, V.FALLBACK_CHARS)
-    return extracted.where(needs_fallback()).select(
-        "accession_number", F.concat(F.lit(V.FALLBACK_PROMPT), sample).alias("prompt")
-    )
+    prompt = F.concat(F.lit(V.FALLBACK_PROMPT), sample).alias("prompt")
+    return extracted.where(needs_fallback()).select("accession_number", *keep, prompt)
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
@@ -119,8 +118,9 @@ def fold_responses(
     those filings are kept. The cover is dropped before the join, so only short rows are
     shuffled, and once for both purposes.
 
-    ``documents`` names the table the covers come from. Its accession numbers are counted to find
-    filings with very many copies, which spares a second extraction just for the count.
+    ``documents`` is the table the covers come from, if ``extracted`` is not a written table. Its
+    accession numbers are counted to find filings with very many copies, which spares a second
+    extraction just for the count.
     """
     short = extracted.drop("cover").withColumn("_open", needs_fallback())
     answers = parse_responses(responses).select(

@@ -24,6 +24,17 @@ LANDED_BODY = _struct(cik=STRING, http_status=INT, body=STRING)
 LANDED_DOCUMENT = _struct(
     cik=STRING, accession_number=STRING, filing_date=DATE, http_status=INT, html=STRING
 )
+EXTRACTED = _struct(
+    cik=STRING,
+    accession_number=STRING,
+    filing_date=DATE,
+    cover=STRING,
+    offering_type=STRING,
+    shares_offered=LONG,
+    price_low=DOUBLE,
+    price_high=DOUBLE,
+    extraction_method=STRING,
+)
 FALLBACK_RESPONSES = _struct(accession_number=STRING, raw=STRING)
 
 # --- raw layer --------------------------------------------------------------------------------

@@ -46,6 +46,15 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
         df.write.mode("append").parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, partition_by: str, kind: str = "parquet") -> None:
+    """Write the partitions that ``df`` has rows for anew and leave the others as they are.
+
+    No shuffle: meant for rows that come from a table with the same partitions.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_by).format(kind).save(path)
+
+
 def rebuild(df: DataFrame, path: str) -> None:
     """Replace the whole table. ``df`` must not read from ``path``."""
     df.write.mode("overwrite").parquet(path)

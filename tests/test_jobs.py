@@ -54,6 +54,7 @@ def test_cycle(spark, tmp_path):
     w = jobs.Warehouse(spark, str(tmp_path))
     landed(w)
     jobs.create_raw(w)
+    jobs.extract_days(w, DAY1, DAY2)
     jobs.ingest_days(w, DAY1, DAY1, version=1)
     jobs.ingest_days(w, DAY2, DAY2, version=2)
     jobs.ingest_days(w, DAY2, DAY2, version=3)  # repeated: duplicates are removed when read
@@ -86,6 +87,27 @@ def test_backfill_is_one_job_over_the_range(spark, tmp_path):
     w = jobs.Warehouse(spark, str(tmp_path))
     landed(w)
     jobs.create_raw(w)
+    jobs.extract_days(w, DAY1, DAY2)
     jobs.ingest_days(w, DAY1, DAY2, version=1, mode=BACKFILL)
     assert w.raw("prospectus_filings").count() == 4
     assert sorted(r.accession_number for r in w.raw("offering_terms").collect()) == ["a", "b", "c"]
+
+
+def test_fallback_goes_between_extraction_and_ingest(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    landed(w)
+    jobs.create_raw(w)
+    land(w, "filing_index", [("6", "Six", DAY2, "f", "424B4", "u")], by=["filing_date"])
+    bare = "<p>This is an initial public offering.</p>"
+    land(w, "documents", [("6", "f", DAY2, 200, bare)], by=["filing_date"])
+    jobs.extract_days(w, DAY2, DAY2)
+    jobs.extract_days(w, DAY2, DAY2)  # replaces its day
+    assert w.extracted(DAY2, DAY2).count() == 3
+    jobs.request_fallback(w, DAY2, DAY2)
+    (request,) = spark.read.json(w.path("staging", "fallback_requests")).collect()
+    assert request.accession_number == "f" and "initial public offering" in request.prompt
+    answer = '{"offering_type": "ipo", "shares_offered": 50000, "price_low": 4, "price_high": 6}'
+    land(w, "fallback_responses", [("f", answer)])
+    jobs.ingest_days(w, DAY2, DAY2, version=1)
+    (row,) = w.raw("offering_terms").where("accession_number = 'f'").collect()
+    assert (row.shares_offered, row.price_low, row.extraction_method) == (50000, 4, "llm")

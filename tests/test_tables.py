@@ -88,7 +88,7 @@ def test_batch_of_empty_tables(spark):
     day = date(2024, 1, 1)
     batch = ingest.batch(
         index(spark).limit(0),
-        spark.createDataFrame([], S.LANDED_DOCUMENT),
+        ingest.extract_days(spark.createDataFrame([], S.LANDED_DOCUMENT), day, day),
         spark.createDataFrame([], S.LANDED_BODY),
         spark.createDataFrame([], "accession_number string, raw string"),
         day,
@@ -113,7 +113,7 @@ def test_daily_batch(spark):
     metadata = [("1", 200, '{"name": "A"}'), ("1", 200, '{"name": "A2"}'), ("4", 200, "{}")]
     args = (
         index(spark),
-        spark.createDataFrame(documents, S.LANDED_DOCUMENT),
+        ingest.extract_days(spark.createDataFrame(documents, S.LANDED_DOCUMENT), day, day),
         spark.createDataFrame(metadata, S.LANDED_BODY),
         spark.createDataFrame([], "accession_number string, raw string"),
         day,
@@ -136,13 +136,15 @@ def test_html_is_never_shuffled(spark, tmp_path, plan):
     documents.write.partitionBy("filing_date").parquet(path)
     landed = tables.read_table(spark, path, S.LANDED_DOCUMENT)
     responses = spark.createDataFrame([], "accession_number string, raw string")
-    batch = ingest.batch(index(spark), landed, spark.createDataFrame([], S.LANDED_BODY),
-                         responses, day, day)
+    extracted = ingest.extract_days(landed, day, day)
+    batch = ingest.batch(index(spark), extracted, spark.createDataFrame([], S.LANDED_BODY),
+                         responses, day, day, documents=landed)
     text = plan(batch["offering_terms"])
     assert "PartitionFilters: [isnotnull(filing_date" in text
     below_python = text[text.index("ArrowEvalPython") :]
     scan = below_python[: below_python.index("FileScan")]
     assert "Exchange" not in scan
+    assert text.count("ArrowEvalPython") == 1
 
 
 def test_checks_let_null_pass(spark):
