@@ -4,7 +4,7 @@ Late and repeated rows need no watermark: the raw tables keep everything and the
 take the last row by timestamp. All checkpoints belong in a folder shared by the cluster.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 
 from greenshoe.operators.latest import newest
 from greenshoe.operators.upsert import upsert
-from greenshoe.schemas import COMPANIES
-from greenshoe.sources.landed import company_metadata
+from greenshoe.plans.terms import extract
+from greenshoe.schemas import COMPANIES, EXTRACTED
+from greenshoe.sources.landed import company_metadata, document_covers
 from greenshoe.sources.tables import last_version, read_version, write_version
 
 
@@ -28,9 +29,25 @@ def landed_stream(
 
 def append_raw(stream: DataFrame, path: str, checkpoint: str, stamp: str) -> StreamingQuery:
     """Append what has landed, each row stamped with the time of its batch, and stop."""
+    return _append(stream.withColumn(stamp, F.current_timestamp()), path, checkpoint)
+
+
+def append_extracted(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append covers and terms of newly landed documents, before the fallback, and stop.
+
+    Extraction needs no state and no shuffle, so every document is parsed once, as it lands.
+    """
+    extracted = extract(document_covers(documents))
+    typed = [F.col(f.name).cast(f.dataType) for f in EXTRACTED]
+    return _append(extracted.select(*typed), path, checkpoint, partition_by=["filing_date"])
+
+
+def _append(
+    rows: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
+) -> StreamingQuery:
     return (
-        stream.withColumn(stamp, F.current_timestamp())
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
+        .partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from greenshoe import schemas as S
-from greenshoe.operators.latest import newest
+from greenshoe.cases.derived import Tables
+from greenshoe.operators.latest import latest_by, newest
 from greenshoe.plans.staging import stg_prospectus_filings
-from greenshoe.operators.latest import latest_by
+from greenshoe.plans.terms import extract
+from greenshoe.sources.landed import document_covers
 from greenshoe.streaming import incremental as I
 
 LANDED = T.StructType(S.LANDED_BODY.fields + [T.StructField("landed_at", T.TimestampType())])
@@ -66,6 +68,20 @@ def test_new_files_are_appended_once_and_the_last_row_wins(spark, tmp_path):
     assert latest == {"a": "again", "b": "other"}
 
 
+def test_documents_are_extracted_as_they_land(spark, folder, tmp_path):
+    """Two halves through the stream give the same rows as one batch over both."""
+    documents = Tables(spark, folder)["fx_documents"]
+    landed, path, checkpoint = (str(tmp_path / n) for n in ("documents", "extracted", "checkpoint"))
+    early = F.col("filing_date") < "1998-01-01"
+    for half in (early, ~early):
+        documents.where(half).write.mode("append").partitionBy("filing_date").parquet(landed)
+        stream = I.landed_stream(spark, landed, S.LANDED_DOCUMENT)
+        I.append_extracted(stream, path, checkpoint).awaitTermination()
+    got = spark.read.schema(S.EXTRACTED).parquet(path).select(*S.EXTRACTED.names)
+    expected = extract(document_covers(documents)).select(*S.EXTRACTED.names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_events_by_day_arrive_in_any_order(spark, folder, tmp_path):
     """Late files change nothing in the end: the last row per key is the same as in one batch."""
     events = spark.read.parquet(f"{folder}/events.parquet").withColumn("day", F.to_date("ts"))
