@@ -17,7 +17,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from greenshoe import fixed_values as V
 from greenshoe import schemas as S
 from greenshoe.operators.upsert import upsert
 from greenshoe.plans import enrichment, ingest, mart, terms
@@ -80,7 +82,7 @@ def create_raw(w: Warehouse) -> None:
 
 
 def load(w: Warehouse, batch: dict[str, DataFrame], version: int) -> None:
-    """Append the filings and terms of a batch and write the companies' next version.
+    """Append the filings and terms of a batch and write the next version of the companies.
 
     Versions count from 1. A batch that is repeated writes the same version again.
     """
@@ -88,23 +90,31 @@ def load(w: Warehouse, batch: dict[str, DataFrame], version: int) -> None:
     filings = batch["prospectus_filings"].withColumn("ingested_at", now)
     name = "prospectus_filings"
     tables.append(filings, w.path(tables.RAW, name), PARTITIONS[name])
-    found = batch["offering_terms"].withColumn("extracted_at", now)
-    tables.append(_typed(found, S.OFFERING_TERMS), w.path(tables.RAW, "offering_terms"))
+    found = with_default(batch["offering_terms"], "extraction_method", V.METHOD_REGEX)
+    found = found.withColumn("extracted_at", now)
+    tables.append(typed(found, S.OFFERING_TERMS), w.path(tables.RAW, "offering_terms"))
     path = w.path(tables.RAW, "companies")
     current = tables.read_version(w.spark, path, version - 1, S.COMPANIES)
     incoming = batch["companies"].withColumn("ingested_at", now)
     tables.write_version(upsert(current, incoming, ["cik"], []), path, version)
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+def with_default(df: DataFrame, column: str, value: str) -> DataFrame:
+    """A missing column gets the default; a NULL in a column that is there stays."""
+    return df if column in df.columns else df.withColumn(column, F.lit(value))
+
+
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns as the table has them. Answers of the fallback are not range-checked, so a figure
+    that does not fit becomes NULL instead of failing the batch."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def extract_days(w: Warehouse, start: date, end: date) -> None:
     """Parse the documents of a range of days; repeated, it replaces its days."""
     extracted = ingest.extract_days(w.landed("documents"), start, end)
     path = w.path(tables.STAGING, "extracted")
-    tables.replace_days(_typed(extracted, S.EXTRACTED), path, "filing_date")
+    tables.replace_days(typed(extracted, S.EXTRACTED), path, "filing_date")
 
 
 def request_fallback(w: Warehouse, start: date, end: date) -> None:

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lookups need no sort where every partition of the lookup side is found to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Prospectus HTML is large: bound what one Arrow batch holds by rows and by bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",

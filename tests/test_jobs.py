@@ -111,3 +111,16 @@ def test_fallback_goes_between_extraction_and_ingest(spark, tmp_path):
     jobs.ingest_days(w, DAY2, DAY2, version=1)
     (row,) = w.raw("offering_terms").where("accession_number = 'f'").collect()
     assert (row.shares_offered, row.price_low, row.extraction_method) == (50000, 4, "llm")
+
+
+def test_default_for_a_missing_method(spark):
+    df = spark.createDataFrame([(1, None)], "a int, extraction_method string")
+    assert jobs.with_default(df, "extraction_method", "regex").first()[1] is None
+    assert jobs.with_default(df.drop("extraction_method"), "extraction_method", "regex").first()[1] == "regex"
+
+
+def test_figures_that_do_not_fit_become_null(spark):
+    df = spark.createDataFrame([(1e30, 2.345)], "price_low double, price_high double")
+    schema = spark.createDataFrame([], "price_low decimal(18,2), price_high decimal(18,2)").schema
+    (row,) = jobs.typed(df, schema).collect()
+    assert row.price_low is None and str(row.price_high) in ("2.34", "2.35")
