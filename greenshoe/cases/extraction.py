@@ -319,6 +319,16 @@ def _(t):
     return rate.withColumn("price_rate", F.round("price_rate", 9))
 
 
+@query(
+    "ipo_listing",
+    DOCUMENTS,
+    f"""SELECT cik, accession_number, filing_date, shares_offered, price_low FROM ({TERMS}) t
+WHERE offering_type = 'ipo'""",
+)
+def _(t):
+    return reports.ipo_listing(_document_terms(t, T.DAILY))
+
+
 @query(
     "run_summary",
     [*DOCUMENTS, "fx_landed_submissions", "fx_filing_index"],

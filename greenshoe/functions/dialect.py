@@ -37,6 +37,11 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def whole_number(text: Column) -> Column:
+    """A JSON number as bigint, also where it is written with a fraction or an exponent."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def json_object(body: Column, schema: StructType, malformed: str | None = None) -> Column:
     """A JSON object by schema, strictly read: no single quotes, nothing after the object.
 

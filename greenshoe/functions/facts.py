@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from greenshoe import fixed_values as V
-from greenshoe.functions.dialect import json_object, let
+from greenshoe.functions.dialect import json_object, let, whole_number
 from greenshoe.schemas import FACT
 
 
@@ -79,7 +79,7 @@ def shares_outstanding(facts: Column) -> Column:
     def of_tag(tag: str, space: str) -> Column:
         return let(
             _latest(_series(facts, space, tag, "shares")),
-            lambda fact: F.when(fact.isNotNull(), F.struct(_whole(fact["val"]).alias("value"))),
+            lambda fact: F.when(fact.isNotNull(), F.struct(whole_number(fact["val"]).alias("value"))),
         )
 
     return F.coalesce(
@@ -94,7 +94,3 @@ def fiscal_year_end(facts: Column) -> Column:
         _latest(annual),
         lambda fact: F.when(fact.isNotNull(), F.struct(fact["end"].alias("value"))),
     )
-
-
-def _whole(number: Column) -> Column:
-    return F.coalesce(number.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))

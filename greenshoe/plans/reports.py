@@ -39,6 +39,12 @@ def extraction_rate(terms: DataFrame) -> DataFrame:
     )
 
 
+def ipo_listing(terms: DataFrame) -> DataFrame:
+    """The IPOs among extracted terms with what was found for each."""
+    columns = ["cik", "accession_number", "filing_date", "shares_offered", "price_low"]
+    return terms.where(F.col("offering_type") == V.IPO).select(*columns)
+
+
 def run_summary(filings: DataFrame, terms: DataFrame, companies: DataFrame) -> DataFrame:
     """Counts of a run: filings, extracted terms, companies with metadata."""
 

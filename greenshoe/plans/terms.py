@@ -1,11 +1,11 @@
 """Offering terms of a batch of landed documents."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import offering as O
-from greenshoe.functions.dialect import ascii_digits, once, regex
+from greenshoe.functions.dialect import ascii_digits, once, regex, whole_number
 from greenshoe.functions.text import normalize_whitespace, strip
 from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
 
@@ -28,7 +28,7 @@ def extract(covers: DataFrame) -> DataFrame:
     )
     failed = F.col("cover").isNull() | F.coalesce(F.col("_f.shares") == O.NO_DIGITS, F.lit(False))
 
-    def unless_failed(value: str, otherwise: str | None = None):
+    def unless_failed(value: str, otherwise: str | None = None) -> Column:
         return F.when(F.col("_failed"), F.lit(otherwise)).otherwise(F.col(value))
 
     return (
@@ -50,7 +50,7 @@ def extract(covers: DataFrame) -> DataFrame:
     )
 
 
-def needs_fallback():
+def needs_fallback() -> Column:
     """IPOs for which the patterns found neither price nor shares."""
     return (
         (F.col("extraction_method") == V.METHOD_REGEX)
@@ -83,9 +83,8 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         V.UNKNOWN
     )
 
-    def figure(name: str, kind: str):
-        value = F.get_json_object(parsed, f"$.{name}").try_cast("double").try_cast(kind)
-        return F.when(is_object, value).alias(name)
+    def figure(name: str) -> Column:
+        return F.when(is_object, F.get_json_object(parsed, f"$.{name}"))
 
     return (
         responses.withColumn("_json", unfenced)
@@ -94,9 +93,9 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         .select(
             "accession_number",
             F.when(is_object, offering_type).otherwise(V.UNKNOWN).alias("offering_type"),
-            figure("shares_offered", "bigint"),
-            figure("price_low", "double"),
-            figure("price_high", "double"),
+            whole_number(figure("shares_offered")).alias("shares_offered"),
+            figure("price_low").try_cast("double").alias("price_low"),
+            figure("price_high").try_cast("double").alias("price_high"),
             F.when(is_object, V.METHOD_FALLBACK)
             .when(is_json, V.METHOD_ERROR)
             .otherwise(V.METHOD_FALLBACK_UNPARSED)

@@ -23,6 +23,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # What is broadcast is small, but it can take a pass over a large table to find it.
+    "spark.sql.broadcastTimeout": "7200",
 }
 
 

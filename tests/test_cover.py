@@ -1,7 +1,11 @@
+from html.parser import HTMLParser
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from greenshoe.operators.cover import cover_text, read_cover
+from greenshoe.operators.cover import BLOCKS, VOID, _CoverReader, cover_text, read_cover
 
 CASES = [
     ("<div><p>A</p></div>", "A A"),
@@ -59,3 +63,66 @@ def test_parsed_once_below_a_filter(spark, plan):
     df = spark.createDataFrame([(1, "<p>a</p>")], "id int, html string")
     covers = df.withColumn("cover", cover_text(F.col("html"))).where("cover is not null")
     assert plan(covers.where("length(cover) > 0")).count("ArrowEvalPython") == 1
+
+
+class Tree(HTMLParser):
+    """The document as nested lists ``[tag, child, ...]``, for reading the rules literally."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=False)
+        self.open = [["root"]]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.open[-1].append([tag])
+        if tag not in VOID:
+            self.open.append(self.open[-1][-1])
+
+    def handle_endtag(self, tag):
+        if tag in [node[0] for node in self.open[1:]]:
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        self.open[-1].append(data)
+
+    def handle_comment(self, data):
+        self.open[-1].append(["comment"])
+
+    def strings(self, node):
+        for child in node[1:]:
+            if isinstance(child, str):
+                yield child.strip()
+            elif child[0] not in ("script", "style"):
+                yield from self.strings(child)
+
+    def blocks(self, node):
+        for child in node[1:]:
+            if not isinstance(child, str):
+                if child[0] in BLOCKS:
+                    yield " ".join(filter(None, self.strings(child)))
+                yield from self.blocks(child)
+
+
+def by_tree(html, limit):
+    tree = Tree(html)
+    chunks, total = [], 0
+    for chunk in tree.blocks(tree.open[0]):
+        if total <= limit and chunk:
+            chunks.append(chunk)
+            total += len(chunk)
+    return " ".join(chunks)
+
+
+TOKENS = st.sampled_from(
+    ["<p>", "</p>", "<div>", "</div>", "<span class='a'>", "</span>", "<td>", "</td>", "<b>", "</b>",
+     "<table>", "</table>", "<br>", "<hr/>", "<!-- c -->", "word", " two words ", "\n", "x" * 30,
+     "<script>var a = '<p>';</script>", "<style>p{}</style>", "<P>", "</DIV>"]
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(TOKENS, max_size=40).map("".join), st.sampled_from([0, 5, 40, 200]))
+def test_random_documents(html, limit):
+    assert _CoverReader(limit).cover(html) == by_tree(html, limit)
