@@ -12,6 +12,8 @@ from greenshoe.plans import staging
 from greenshoe.schemas import FCT_IPO_OFFERINGS
 from greenshoe.session import materialize
 
+FACT_FILING_COLUMNS = ["cik", "company_name", "filing_date", "accession_number"]
+
 
 def ipo_terms(stg_terms: DataFrame) -> DataFrame:
     """Priced IPOs. Filters the latest terms: an IPO re-classified later is out."""
@@ -24,10 +26,9 @@ def ipo_terms(stg_terms: DataFrame) -> DataFrame:
 
 def latest_financials(financials: DataFrame) -> DataFrame:
     """Per company the latest financials among those with revenue."""
-    positive = financials.where(F.col("trailing_revenue") > 0)
-    return latest_by(positive, ["cik"], [newest("fiscal_year_end")]).select(
-        "cik", "trailing_revenue", "shares_outstanding"
-    )
+    columns = ["cik", "fiscal_year_end", "trailing_revenue", "shares_outstanding"]
+    positive = financials.where(F.col("trailing_revenue") > 0).select(*columns)
+    return latest_by(positive, ["cik"], [newest("fiscal_year_end")]).drop("fiscal_year_end")
 
 
 def sector_map(stg_companies: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def mart_base(
 ) -> DataFrame:
     """The fact table without the sector benchmark, from the four raw tables."""
     offerings = filings_with_terms(
-        staging.stg_prospectus_filings(filings),
+        staging.stg_prospectus_filings(filings, FACT_FILING_COLUMNS),
         ipo_terms(staging.stg_offering_terms(terms)),
     )
     # Both dimensions hold about one row per company. Joined to each other first, they cost the

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from greenshoe.functions.valuation import final_price
 from greenshoe.operators.latest import latest_by, newest
+from greenshoe.schemas import FILING_INDEX
+
+FILING_COLUMNS = FILING_INDEX.names
 
 
 def stg_companies(companies: DataFrame) -> DataFrame:
@@ -18,12 +21,14 @@ def stg_companies(companies: DataFrame) -> DataFrame:
     )
 
 
-def stg_prospectus_filings(filings: DataFrame) -> DataFrame:
-    """The last ingested row of every filing."""
-    latest = latest_by(filings, ["accession_number"], [newest("ingested_at")])
-    return latest.select(
-        "cik", "company_name", "filing_date", "accession_number", "form_type", "filing_url"
-    )
+def stg_prospectus_filings(filings: DataFrame, columns: list[str] = FILING_COLUMNS) -> DataFrame:
+    """The last ingested row of every filing.
+
+    With the first few of the columns only, the others are neither read nor shuffled. Ties are
+    broken column by column, so these hold the same values as in the whole view.
+    """
+    rows = filings.select(*columns, "ingested_at")
+    return latest_by(rows, ["accession_number"], [newest("ingested_at")]).select(*columns)
 
 
 def stg_offering_terms(terms: DataFrame) -> DataFrame:

@@ -114,3 +114,15 @@ def test_upsert(spark):
 def test_upsert_of_nothing(spark):
     current = spark.createDataFrame([("a", 1)], "k string, v int")
     assert upsert(current, current.limit(0), ["k"], []).collect() == current.collect()
+
+
+def test_fewer_columns_hold_the_same_values(spark):
+    from greenshoe.plans.staging import stg_prospectus_filings
+
+    rows = [("k", c, n, f, u, 1) for c in "12" for n in "AB" for f in "xy" for u in "pq"]
+    names = "accession_number string, cik string, company_name string, form_type string,"
+    df = spark.createDataFrame(rows, names + " filing_url string, ingested_at int")
+    df = df.withColumn("filing_date", F.current_date())
+    few = ["cik", "company_name", "filing_date", "accession_number"]
+    whole = stg_prospectus_filings(df).select(*few)
+    assert stg_prospectus_filings(df, few).collect() == whole.collect()
