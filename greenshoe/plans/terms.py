@@ -7,6 +7,7 @@ from greenshoe import fixed_values as V
 from greenshoe.functions import offering as O
 from greenshoe.functions.dialect import ascii_digits, once, regex, whole_number
 from greenshoe.functions.text import normalize_whitespace, strip
+from greenshoe.operators.latest import latest_by
 from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
 
 TERMS = ["offering_type", "shares_offered", "price_low", "price_high", "extraction_method"]
@@ -68,7 +69,7 @@ def fallback_requests(extracted: DataFrame, *keep: str) -> DataFrame:
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
-    """Terms from the raw fallback answers ``(accession_number, raw)``, one per filing.
+    """Terms from raw fallback answers ``(accession_number, raw)``, row by row.
 
     An answer that is no JSON gives ``llm_parse_error``; JSON that is no object is an error row.
     The type defaults to unknown only where its key is absent. Figures are not range-checked.
@@ -113,7 +114,7 @@ def fold_responses(
 ) -> DataFrame:
     """Replace the terms of the filings that needed the fallback by its answer.
 
-    A filing whose answer never came is an error row. With ``filings`` given, only documents of
+    A filing whose answer never came is an error row; of several answers one is taken. With ``filings`` given, only documents of
     those filings are kept. The cover is dropped before the join, so only short rows are
     shuffled, and once for both purposes.
 
@@ -122,7 +123,8 @@ def fold_responses(
     extraction just for the count.
     """
     short = extracted.drop("cover").withColumn("_open", needs_fallback())
-    answers = parse_responses(responses).select(
+    once_each = latest_by(responses.select("accession_number", "raw"), ["accession_number"], [])
+    answers = parse_responses(once_each).select(
         "accession_number", F.struct(*TERMS).alias("_answer")
     )
     error = F.struct(

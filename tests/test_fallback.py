@@ -83,3 +83,9 @@ def test_backfill_drops_error_rows(spark):
     terms = T.extract(covers(spark))
     assert T.keep_for(T.DAILY, terms).count() == 6
     assert T.keep_for(T.BACKFILL, terms).count() == 5
+
+
+def test_a_repeated_answer_does_not_repeat_the_filing(spark):
+    answers = responses(spark).unionByName(responses(spark))
+    folded = T.fold_responses(T.extract(covers(spark)), answers)
+    assert folded.count() == 6 and rows_by(folded, "accession_number") == FOLDED
