@@ -5,13 +5,17 @@ import pytest
 import __spark_entry__ as entry
 from check_oracles import compare
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from greenshoe.cases.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, folder, name):
     outcome, _, _ = compare(spark, folder, name, QUERIES[name], ORACLES.get(name))
