@@ -292,5 +292,6 @@ def overlaps(
 def without_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Documents without any overlap in ``found``; clean ones stay, with all their columns."""
     bad = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text_of("text")) == F.col("_text"))
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (text == bad["_text"])
     return docs.join(bad, same, "left_anti")

@@ -347,8 +347,9 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     names = found.groupBy(F.col("doc_id").alias("_id")).agg(
         F.count("*").alias("_rows"), F.max(stays).alias("_stays")
     )
-    kept = docs.join(names.where("_stays"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    alone = kept.where((F.col("_rows") == 1) | F.col("doc_id").isNull())
-    several = kept.where((F.col("_rows") > 1) & F.col("doc_id").isNotNull())
-    out = alone.unionByName(several.dropDuplicates(["doc_id"]))
-    return out.select(*docs.columns)
+    names = names.where("_stays")
+    one = (names["_rows"] == 1) | names["_id"].isNull()
+    same = docs["doc_id"].eqNullSafe(names["_id"])
+    alone = docs.join(names.where(one), same, "left_semi")
+    several = docs.join(names.where(~one), same, "left_semi")
+    return alone.unionByName(several.dropDuplicates(["doc_id"]))

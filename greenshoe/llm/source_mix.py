@@ -181,16 +181,18 @@ def mixed_documents(docs: DataFrame, order: DataFrame) -> DataFrame:
 
     Equal rows of ``docs`` are one document here, taken as often as all of them together.
     """
-    d = docs.withColumn("_hash", F.xxhash64(text_of("text")))
-    d = d.dropDuplicates(["doc_id", "source", "_hash"])
-    o = order.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "text_hash",
-        F.col("position").alias("_position"), F.col("epoch").alias("_epoch"),
-    )
+    # The columns go along as one, so that their names do not matter.
+    row = F.struct(*[docs[c] for c in docs.columns])
+    d = docs.select(
+        docs["doc_id"].alias("_id"),
+        docs["source"].alias("_source"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_hash"),
+        row.alias("_row"),
+    ).dropDuplicates(["_id", "_source", "_hash"])
     same = (
-        d["doc_id"].eqNullSafe(o["_id"])
-        & d["source"].eqNullSafe(o["_source"])
-        & (d["_hash"] == o["text_hash"])
+        d["_id"].eqNullSafe(order["doc_id"])
+        & d["_source"].eqNullSafe(order["source"])
+        & (d["_hash"] == order["text_hash"])
     )
-    joined = d.join(o, same).orderBy("_position", "_source", "_id", "_epoch")
-    return joined.select(*[d[c] for c in docs.columns])
+    joined = d.join(order, same).orderBy("position", "source", "doc_id", "epoch")
+    return joined.select("_row.*")

@@ -13,7 +13,7 @@ case, without user, port and a final dot; queries and fragments do not count.
 Null or hostless URLs and captures without a day match nothing. Entries without a pattern, day,
 list or known action are ignored; repeated ones count once; of an addition and a removal on the
 same day the removal holds. Rows that repeat get equal results. Empty tables give no rows, or
-captures that are all ``unlisted``. Other columns are ignored. Only DataFrame operations are used.
+captures that are all ``unlisted``. Other columns stay, but for those with the names of results. Only DataFrame operations are used.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -113,9 +113,11 @@ def judge(
     )
     hits = keyed.join(intervals, "pattern").where(active)
     decided = hits.groupBy("_url", "_day").agg(F.max(rank).alias("_hit"))
-    same = (F.col(url_col) == F.col("_url")) & (F.col(day_col) == F.col("_day"))
+    hit = decided["_hit"]
+    same = (captures[url_col] == decided["_url"]) & (captures[day_col] == decided["_day"])
+    results = ("list", "pattern", "valid_from")
     return captures.join(decided, same, "left").select(
-        *[captures[c] for c in captures.columns],
-        F.coalesce("_hit.verdict", F.lit(UNLISTED)).alias("verdict"),
-        *[F.col(f"_hit.{c}").alias(c) for c in ("list", "pattern", "valid_from")],
+        *[captures[c] for c in captures.columns if c not in ("verdict", *results)],
+        F.coalesce(hit["verdict"], F.lit(UNLISTED)).alias("verdict"),
+        *[hit[c].alias(c) for c in results],
     )

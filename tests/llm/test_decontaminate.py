@@ -1,0 +1,97 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from greenshoe.llm import decontaminate
+from greenshoe.llm.decontaminate import overlaps, without_contaminated
+
+ITEMS = "item_id long, text string, seeds string"
+
+
+def words(rng, n):
+    return [f"w{rng.randrange(5_000)}" for _ in range(n)]
+
+
+def tokens(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def test_finds_every_copied_item(spark, documents, folder, scratch):
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = {(r["doc_id"], r["item_id"]): r for r in overlaps(documents, bench, scratch).collect()}
+    whole = set()
+    for item in bench.collect():
+        needle = " " + " ".join(tokens(item["text"])) + " "
+        for doc in documents.collect():
+            if needle in " " + " ".join(tokens(doc["text"])) + " ":
+                whole.add((doc["doc_id"], item["item_id"]))
+    assert whole and whole <= set(found)
+    for key in set(found) - whole:  # anything else overlaps far enough, token by token
+        r = found[key]
+        assert r["n_compared"] >= decontaminate.MIN_OVERLAP
+    assert all(found[k]["n_equal"] == found[k]["item_tokens"] for k in whole)
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(2)
+    item = words(rng, 40)
+    docs, expected = [(0, " ".join(words(rng, 300)), None)], {}
+    for i, every in enumerate((0, 10, 6, 2), 1):
+        copy = list(item)
+        if every:
+            for j in range(3, 40, every):
+                copy[j] = "other"
+        docs.append((i, " ".join(words(rng, 50) + copy + words(rng, 50)), None))
+        expected[i] = every != 2  # half of the tokens replaced: not a copy any more
+    docs.append((5, " ".join(item[:14]), None))  # a third of the item, alone
+    docs.append((6, " ".join(words(rng, 30) + item[10:18] + words(rng, 30)), None))
+    return item, docs, expected | {0: False, 5: True, 6: False}
+
+
+def test_replaced_tokens(spark, scratch, planted):
+    item, docs, expected = planted
+    docs = spark.createDataFrame(docs, "doc_id long, text string, tokens string")
+    text = ", ".join(item).upper() + "!"
+    bench = spark.createDataFrame([(7, text, ""), (8, None, ""), (9, "", "")], ITEMS)
+    found = {r["doc_id"]: r for r in overlaps(docs, bench, scratch).collect()}
+    assert {i: i in found for i in expected} == expected
+    assert (found[1]["n_equal"], found[1]["doc_start"], found[1]["item_start"]) == (40, 50, 0)
+    clean = without_contaminated(docs, overlaps(docs, bench, scratch_again(scratch)))
+    assert {r["doc_id"] for r in clean.collect()} == {i for i, e in expected.items() if not e}
+
+
+def scratch_again(scratch):
+    scratch.root += "-again"
+    return scratch
+
+
+def test_short_items(spark, scratch):
+    rng = random.Random(3)
+    item = words(rng, 7)
+    docs = [(1, " ".join(words(rng, 20) + item + words(rng, 20))), (2, " ".join(words(rng, 60))),
+            (3, " ".join(item[:6] + ["no"] + words(rng, 20)))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item), ""), (2, "w1 w2", "")], ITEMS)
+    assert [r["doc_id"] for r in overlaps(docs, bench, scratch).collect()] == [1]
+
+
+def test_every_place_is_left_out_by_some_mask():
+    for place in range(decontaminate.SPAN):
+        assert any(place not in mask for mask in decontaminate.MASKS)
+
+
+def test_odd_rows(spark, odd, nothing, scratch):
+    text = odd.where("doc_id = 1").first()["text"]
+    bench = spark.createDataFrame([(1, text, ""), (1, text, ""), (None, text, "")], ITEMS)
+    found = overlaps(odd, bench, scratch).collect()
+    ids = {1, 2, None, 13, 2**62}
+    assert {r["doc_id"] for r in found} == ids and len(found) == 2 * len(ids)
+    clean = without_contaminated(odd, overlaps(odd, bench, scratch_again(scratch)))
+    assert clean.columns == odd.columns
+    assert sorted(r["doc_id"] or -1 for r in clean.collect()) == [-1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]
+    empty = bench.where(F.lit(False))
+    assert overlaps(odd, empty, scratch_again(scratch)).count() == 0
+    assert overlaps(nothing, bench, scratch_again(scratch)).count() == 0

@@ -1,0 +1,84 @@
+import hashlib
+import random
+
+import pytest
+
+from greenshoe.llm import line_dedup
+from greenshoe.llm.shared import SPACES
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(docs):
+    """docs: distinct (id, text); (lines, dropped, digest) by (id, text)."""
+    def key(line):
+        return line.strip(SPACES).translate(LOWER)
+
+    holders = {}
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                holders.setdefault(key(line), set()).add(doc)
+    rank = lambda doc: (doc is not None, doc or 0)
+    out = {}
+    for doc, text in docs:
+        lines = (text or "").split("\n")
+        kept = [
+            line for line in lines
+            if len(holders.get(key(line), ())) < 3 or max(holders[key(line)], key=rank) == doc
+        ]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out[doc, text or ""] = (len(lines), len(lines) - len(kept), digest)
+    return out
+
+
+def found(df, scratch):
+    rows = line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df, scratch)).collect()
+    return rows, {
+        (r["doc_id"], r["n_lines"], r["n_dropped"], hashlib.sha256(r["kept"].encode()).hexdigest())
+        for r in rows
+    }
+
+
+def random_docs():
+    rng = random.Random(1)
+    shared = [f"a shared line of some length number {i}" for i in range(30)]
+    docs = []
+    for doc in range(200):
+        lines = [rng.choice(shared[: rng.choice([1, 5, 30])]) for _ in range(rng.randrange(6))]
+        lines += [f"own line of document {doc} and nothing else {rng.random()}", "", "short"]
+        rng.shuffle(lines)
+        docs.append((doc, "\n".join(rng.choice([x, x.upper(), f"\t {x}\x0b "]) for x in lines)))
+    return docs + [(None, shared[0]), (300, None), (301, "É" * 25), (302, "é" * 25), (303, "É" * 25)]
+
+
+@pytest.mark.parametrize("frequent", [5, 1_000])
+def test_against_brute_force(spark, scratch, monkeypatch, frequent):
+    monkeypatch.setattr(line_dedup, "FREQUENT_LINES", frequent)
+    monkeypatch.setattr(line_dedup, "SLICES", 4)
+    docs = random_docs()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    expected = {(doc, *figures) for (doc, _), figures in brute(docs).items()}
+    assert found(df, scratch)[1] == expected
+
+
+def test_odd_rows(odd, nothing, scratch):
+    rows, values = found(odd, scratch)
+    docs = list({(r["doc_id"], r["text"] or "") for r in odd.collect()})
+    assert values == {(doc, *figures) for (doc, _), figures in brute(docs).items()}
+    assert len(rows) == odd.count()
+    scratch.root += "-empty"
+    assert found(nothing, scratch)[0] == []
+
+
+def test_bitmaps_are_runs(spark, scratch):
+    line = "the same line in all of these documents"
+    df = spark.createDataFrame([(i, f"a\n{line}\nb\n{line}") for i in range(4)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in line_dedup.keep_bitmaps(df, scratch).collect()}
+    assert [tuple(x) for x in rows[0]["keep"]] == [(0, 1), (2, 1)]
+    assert [tuple(x) for x in rows[3]["keep"]] == [(0, 4)]
+
+
+def test_no_python(spark, scratch, documents, plan):
+    text = plan(line_dedup.keep_bitmaps(documents, scratch))
+    assert "Python" not in text and "Arrow" not in text
