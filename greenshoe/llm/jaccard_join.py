@@ -13,7 +13,8 @@ are candidates; candidates are expanded to their members, and these are verified
 4. Candidates are verified in stars first: the members of a group against its first, and of the
    groups at a prefix token each against one of them. What is linked is one component from then
    on, so that a large family of near copies takes a number of pairs in proportion to its size.
-   The stars are repeated with other centres while many pairs stay open.
+   The first centre at a token is a set that has it earliest, so one with few tokens of its own,
+   which is what copies were made from. Other centres follow while that pays.
 5. All remaining candidates in different components are verified. No pair of candidates goes
    unchecked unless its documents are connected already.
 
@@ -51,8 +52,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE, PERCENT = 5, 80
 # Share of the hash range that step 2 counts.
 SAMPLED = 0.3
-# Pairs left over per prefix token up to which step 5 begins, and star rounds at most before it.
-FEW_PAIRS, STAR_ROUNDS = 2, 6
+# Step 5 begins when so few pairs per prefix token are left to compare, after so many rounds of
+# stars, or when a round has linked less than a tenth of what the one before has.
+FEW_PAIRS, STAR_ROUNDS = 16, 4
 # Bits of the filter that tells which documents stand for a class: 2 MB, whatever their number.
 FILTER_BITS, BITMAP = 24, 32_768
 
@@ -215,11 +217,12 @@ class _Links:
         joined = rows.join(labels, column, "left")
         return joined.withColumn(name, F.coalesce("_c", column)).drop("_c")
 
-    def add(self, links: DataFrame) -> None:
+    def add(self, links: DataFrame) -> int:
+        """Merge the components that ``links`` (a, b) connect; the number of links."""
         self.step += 1
         links = self.scratch.save(links, f"links-{self.step}")
-        if links.isEmpty() and self.labels is not None:
-            return
+        if not (n := links.count()):
+            return 0
         ends = self.of(self.of(links, "a", "_a"), "b", "_b")
         ends = ends.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
         merged = connected_components(ends, self.scratch, f"merge-{self.step}")
@@ -230,6 +233,7 @@ class _Links:
             known = self.labels.select("node")
             merged = old.unionByName(merged.join(known, "node", "left_anti"))
         self.labels = self.scratch.save(merged, f"labels-{self.step}")
+        return n
 
 
 def _open_pairs(postings: DataFrame) -> int:
@@ -241,8 +245,8 @@ def _open_pairs(postings: DataFrame) -> int:
     return by_token.agg(F.sum("pairs")).first()[0] or 0
 
 
-def _linked(sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Steps 4 and 5: (node, component) for the sets that are linked with others."""
+def _linked(sets: DataFrame, scratch: Scratch) -> _Links:
+    """Steps 4 and 5: the components of all sets."""
     group = sets.groupBy("prefix_key").agg(F.min("set").alias("group"))
     members = scratch.save(
         sets.select("set", "n", "prefix_key").join(group, "prefix_key").drop("prefix_key"), "members"
@@ -258,15 +262,15 @@ def _linked(sets: DataFrame, scratch: Scratch) -> DataFrame:
     links = _Links(scratch)
     in_groups = members.where(F.col("set") != F.col("group"))
     links.add(_similar(in_groups.select(F.col("group").alias("a"), F.col("set").alias("b")), sets))
+    linked_before = 0
     for number in range(1, STAR_ROUNDS + 1):
         labelled = links.of(postings, "group", "component")
         if number > 1 and _open_pairs(labelled) <= FEW_PAIRS * n_postings:
             break
-        centre = F.min(
-            F.struct(
-                F.xxhash64("group", F.lit(number)), "group", "component", "n", "place"
-            )
-        )
+        order = [F.xxhash64("group", F.lit(number)).alias("order")]
+        if number == 1:
+            order.insert(0, F.col("place").alias("early"))
+        centre = F.min(F.struct(*order, "group", "component", "n", "place"))
         centres = (
             labelled.groupBy("token")
             .agg(centre.alias("c"), F.count("*").alias("k"))
@@ -280,7 +284,10 @@ def _linked(sets: DataFrame, scratch: Scratch) -> DataFrame:
             .where(_close("g_", "c_"))
         )
         pairs = spokes.select(F.col("c_group").alias("a"), F.col("group").alias("b")).distinct()
-        links.add(_similar(pairs, sets))
+        n_links = links.add(_similar(pairs, sets))
+        if 10 * n_links < linked_before:
+            break
+        linked_before = n_links
     # Every pair of members that shares a prefix token and is not connected yet.
     expanded = links.of(
         postings.drop("n").join(members, "group").select("token", "place", "n", "set"),
@@ -296,7 +303,7 @@ def _linked(sets: DataFrame, scratch: Scratch) -> DataFrame:
         .distinct()
     )
     links.add(_similar(pairs, sets))
-    return links.labels
+    return links
 
 
 def near_duplicates(
@@ -317,9 +324,7 @@ def near_duplicates(
     sets = scratch.save(_candidates(rows, _id_filter(classes)), "sets")
     if sets.count() > sets.select("set").distinct().count():
         sets = scratch.save(sets.dropDuplicates(["set"]), "distinct-sets")
-    labels = _linked(sets, scratch)
-    named = classes.join(labels.withColumnRenamed("node", "set"), "set", "left")
-    named = named.withColumn("component", F.coalesce("component", "set"))
+    named = _linked(sets, scratch).of(classes, "set", "component")
     names = named.groupBy("component").agg(F.min("first").alias("name"))
     by_set = named.join(names, "component").select("set", "name")
     result = scratch.save(
