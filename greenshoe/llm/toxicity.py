@@ -1,6 +1,6 @@
 """Toxic texts by a linear classifier on character n-grams.
 
-Features are the distinct n-grams of 3 to 6 characters inside the words of a text (a word's ends
+Features are the distinct n-grams of 4 to 7 characters inside the words of a text (a word's ends
 count as characters), hashed. Each is scaled by its naive Bayes log-count ratio: how much more
 often it stands in toxic training texts than in others. A logistic regression is fitted on top.
 
@@ -25,55 +25,84 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenshoe.llm.shared import bounded_batches, text_of
+from greenshoe.llm.shared import (
+    U64,
+    bounded_batches,
+    mixed,
+    per_process,
+    text_of,
+    window_hashes,
+)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The most labelled rows that training uses.
 TRAINING_ROWS = 4_000
-SIZES = (3, 4, 5, 6)
+SIZES = (4, 5, 6, 7)
 BUCKETS = 1 << 18
 # Of the hashed features, the ones that tell the classes apart best are fitted.
-FEATURES, MIN_DOCUMENTS = 1 << 15, 3
-SMOOTHING, L2, STEPS, RATE = 1.0, 1.0, 150, 0.02
+FEATURES, MIN_DOCUMENTS = 1 << 13, 3
+SMOOTHING, L2, STEPS, RATE = 1.0, 0.1, 150, 0.03
 THRESHOLD = 0.3
 # Contract: rows with this remainder of crc32(id) mod 4 are held out.
 FOLDS, HELD_OUT = 4, 2
-# Words whose features a task remembers.
-REMEMBERED = 200_000
+# Words whose features a worker remembers (some 150 MB at most), and words hashed at once.
+REMEMBERED, AT_ONCE = 400_000, 5_000
 
 
 def held_out(id_col: str) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT
 
 
-def word_features(word: str) -> np.ndarray:
-    padded = f"\x02{word}\x03"
-    grams = {padded[i : i + n] for n in SIZES for i in range(len(padded) - n + 1)}
-    hashes = [xxhash.xxh32_intdigest(g.encode("utf-8", "surrogatepass")) for g in grams]
-    return np.array(hashes, np.int64) & (BUCKETS - 1)
+def words_features(words: list[str], place: np.ndarray | None = None) -> list[np.ndarray]:
+    """The hashed n-grams of each word, all words at once.
+
+    With ``place`` their numbers in it instead, without those that have a negative one.
+    """
+    text = "\x02" + "\x03\x02".join(words) + "\x03"
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
+    sizes = np.array([len(w) + 2 for w in words])
+    owner = np.repeat(np.arange(len(words)), sizes)
+    end = np.repeat(np.cumsum(sizes), sizes)
+    owners, features = [], []
+    for n in SIZES:
+        hashes = window_hashes(codes, list(range(n)), n)
+        inside = np.flatnonzero(np.arange(len(hashes)) + n <= end[: len(hashes)])
+        found = (mixed(hashes[inside] + U64(n)) & U64(BUCKETS - 1)).astype(np.int32)
+        if place is not None:
+            found = place[found]
+            inside, found = inside[found >= 0], found[found >= 0]
+        owners.append(owner[inside])
+        features.append(found)
+    owners, features = np.concatenate(owners), np.concatenate(features)
+    order = np.argsort(owners, kind="stable")
+    counts = np.bincount(owners, minlength=len(words))
+    return np.split(features[order], np.cumsum(counts)[:-1])
 
 
 class TextFeatures:
-    """Distinct features of texts; ``keep`` says what to remember of a word's features."""
-
-    def __init__(self, keep: Callable[[np.ndarray], np.ndarray]):
-        self.keep, self.known = keep, {}
-
-    def __call__(self, text: str) -> list[np.ndarray]:
-        """The features of each distinct word."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        out = []
-        for word in set(text.lower().split()):
-            found = self.known.get(word)
-            if found is None:
-                found = self.keep(word_features(word))
-                if len(word) <= 64:
-                    self.known[word] = found
-            if len(found):
-                out.append(found)
-        return out
+    """Features of texts, as ``words_features`` gives them; remembers those of words."""
+
+    def __init__(self, place: np.ndarray | None = None):
+        self.place, self.known = place, {}
+
+    def learn(self, words: list[str]) -> None:
+        for i in range(0, len(words), AT_ONCE):
+            part = words[i : i + AT_ONCE]
+            for word, found in zip(part, words_features(part, self.place)):
+                # A copy, as a slice would keep the array of all words alive.
+                self.known[word] = found.copy() if len(found) else None
+
+    def __call__(self, texts: list[str | None]) -> Iterator[list[np.ndarray]]:
+        """For each text the features of each of its distinct words that has any."""
+        for text in texts:
+            words = set((text or "").lower().split())
+            new = words.difference(self.known)
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known, new = {}, words
+            if new:
+                self.learn(list(new))
+            yield [f for f in map(self.known.__getitem__, words) if f is not None]
 
 
 @dataclass(frozen=True)
@@ -84,29 +113,43 @@ class Model:
     buckets: np.ndarray  # the hashed features that bear weight, sorted
     weights: np.ndarray
 
-    def scorer(self) -> Callable[[str], float]:
+    def scorer(self) -> Callable[[list[str | None]], list[float]]:
         place = np.full(BUCKETS, -1, np.int32)
-        place[self.buckets] = np.arange(len(self.buckets))
-
-        def keep(features: np.ndarray) -> np.ndarray:
-            found = place[features]
-            return found[found >= 0]
+        place[self.buckets] = np.arange(len(self.buckets), dtype=np.int32)
 
-        features, present = TextFeatures(keep), np.zeros(len(self.buckets), bool)
+        features, present = TextFeatures(place), np.zeros(len(self.buckets))
 
-        def score(text: str) -> float:
-            words = features(text)
-            total = self.intercept
-            if words:
-                at = np.concatenate(words)
-                present[at] = True
-                total += float(self.weights[present].sum())
-                present[at] = False
-            return float(1 / (1 + np.exp(-total)))
+        def score(texts: list[str | None]) -> list[float]:
+            totals = np.full(len(texts), self.intercept)
+            for i, words in enumerate(features(texts)):
+                if words:
+                    at = np.concatenate(words)
+                    present[at] = 1
+                    totals[i] += present @ self.weights
+                    present[at] = 0
+            return (1 / (1 + np.exp(-totals))).tolist()
 
         return score
 
 
+def worker_scorer(model: "Model") -> Callable[[list[str | None]], list[float]]:
+    """The scorer of a model, with the words that earlier tasks of this worker have met."""
+    mark = xxhash.xxh3_64_hexdigest(model.weights.tobytes() + model.buckets.tobytes())
+    return per_process("toxicity", lambda: BoundedScorers())(mark, model)
+
+
+class BoundedScorers:
+    """Remembers the scorer of the last model only."""
+
+    def __init__(self):
+        self.mark, self.scorer = None, None
+
+    def __call__(self, mark: str, model: "Model"):
+        if self.mark != (mark, model.intercept):
+            self.mark, self.scorer = (mark, model.intercept), model.scorer()
+        return self.scorer
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     """Log-count ratios and a logistic regression (Adam, full batches) on hashed features."""
     n, y = len(rows), toxic.astype(np.float64)
@@ -163,13 +206,12 @@ def training_rows(
     rows = rows.select("_id", "_text", "_toxic").dropDuplicates(["_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = TextFeatures(lambda f: f)
+        features = TextFeatures()
         for batch in batches:
             found = []
-            for text in batch.column(0).to_pylist():
-                words = features(text)
-                distinct = np.unique(np.concatenate(words)) if words else np.zeros(0, np.int64)
-                found.append(distinct.astype(np.int32).tobytes())
+            for words in features(batch.column(0).to_pylist()):
+                distinct = np.unique(np.concatenate(words)) if words else np.zeros(0, np.int32)
+                found.append(distinct.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.binary()), batch.column(1)], ["features", "toxic"]
             )
@@ -202,9 +244,9 @@ def score(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value.scorer()
+        scorer = worker_scorer(shared.value)
         for batch in batches:
-            scores = [scorer(t or "") for t in batch.column(1).to_pylist()]
+            scores = scorer(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64())], ["_id", "score"]
             )
@@ -220,9 +262,9 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value.scorer()
+        scorer = worker_scorer(shared.value)
         for batch in batches:
-            clean = [scorer(t or "") < THRESHOLD for t in batch.column(at).to_pylist()]
+            clean = [s < THRESHOLD for s in scorer(batch.column(at).to_pylist())]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
