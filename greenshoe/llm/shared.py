@@ -77,11 +77,16 @@ def ascii_lower(text: Column) -> Column:
 
 
 def per_process(name: str, make: Callable[[], object]) -> object:
-    """An object that lives as long as the Python worker, for all its tasks."""
+    """An object that a Python worker keeps for its next tasks.
+
+    A worker keeps one: when another is asked for, the one before is let go, so that the
+    operators of a pipeline do not add up in its memory.
+    """
     kept = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
-    if not hasattr(kept, name):
-        setattr(kept, name, make())
-    return getattr(kept, name)
+    if getattr(kept, "name", None) != name:
+        kept.name = kept.object = None
+        kept.name, kept.object = name, make()
+    return kept.object
 
 
 def text_slices(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
