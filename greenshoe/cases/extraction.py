@@ -12,7 +12,6 @@ from greenshoe.operators.cover import cover_text
 from greenshoe.plans import ingest, reports
 from greenshoe.plans import terms as T
 from greenshoe.sources import filings, landed
-from greenshoe.sources.tables import spread_scan
 
 DAY = date(1998, 10, 3)
 START, END = date(1998, 1, 1), date(1998, 6, 30)
@@ -218,7 +217,7 @@ FROM documents""",
 )
 def _(t):
     normalized = X.normalize_whitespace(F.col("text"))
-    return spread_scan(t["documents"]).select("doc_id", normalized.alias("normalized"))
+    return t["documents"].select("doc_id", normalized.alias("normalized"))
 
 
 @query("text_preview", [], "SELECT doc_id, substring(text, 1, 500) AS preview FROM documents")
@@ -262,6 +261,18 @@ def _(t):
     return _document_terms(t, T.DAILY)
 
 
+def _backfill(t):
+    return ingest.batch(
+        t["fx_filing_index"],
+        ingest.extract_days(t["fx_documents"], FIRST_DAY, LAST_DAY),
+        t["fx_landed_submissions"],
+        t["fx_fallback_responses"],
+        FIRST_DAY,
+        LAST_DAY,
+        mode=T.BACKFILL,
+    )
+
+
 @query(
     "backfill_terms",
     [*DOCUMENTS, "fx_filing_index"],
@@ -270,17 +281,7 @@ def _(t):
     AND filing_url IS NOT NULL AND filing_date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}')""",
 )
 def _(t):
-    documents = t["fx_documents"]
-    return ingest.batch(
-        t["fx_filing_index"],
-        ingest.extract_days(documents, FIRST_DAY, LAST_DAY),
-        t["fx_landed_submissions"],
-        t["fx_fallback_responses"],
-        FIRST_DAY,
-        LAST_DAY,
-        mode=T.BACKFILL,
-        documents=documents,
-    )["offering_terms"]
+    return _backfill(t)["offering_terms"]
 
 
 @query(
@@ -290,7 +291,7 @@ def _(t):
 FROM ({_extracted_sql(f"({DOCUMENT_COVERS}) d")}) e WHERE {OPEN}""",
 )
 def _(t):
-    return T.fallback_requests(ingest.extract_days(t["fx_documents"], FIRST_DAY, LAST_DAY))
+    return T.fallback_requests(T.extract(landed.document_covers(t["fx_documents"])))
 
 
 @query("fold_fallback", ["fx_orders"], ANSWERS)
@@ -301,8 +302,9 @@ def _(t):
 @query(
     "type_breakdown",
     DOCUMENTS,
-    f"""SELECT offering_type, count(*) AS n FROM ({TERMS}) t GROUP BY offering_type
-ORDER BY n DESC, offering_type""",
+    f"""SELECT offering_type, count(*) AS n FROM ({TERMS}) t
+WHERE extraction_method <> 'error' AND offering_type IS NOT NULL
+GROUP BY offering_type ORDER BY n DESC, offering_type""",
 )
 def _(t):
     return reports.type_breakdown(_document_terms(t, T.DAILY))
@@ -321,26 +323,31 @@ def _(t):
 
 @query(
     "ipo_listing",
-    DOCUMENTS,
-    f"""SELECT cik, accession_number, filing_date, shares_offered, price_low FROM ({TERMS}) t
-WHERE offering_type = 'ipo'""",
+    [*DOCUMENTS, "fx_filing_index"],
+    f"""SELECT i.company_name AS company, t.cik, t.accession_number, t.filing_date, t.shares_offered,
+  t.price_low
+FROM ({TERMS}) t JOIN fx_filing_index i ON t.accession_number = i.accession_number
+WHERE t.offering_type = 'ipo'""",
 )
 def _(t):
-    return reports.ipo_listing(_document_terms(t, T.DAILY))
+    return reports.ipo_listing(_document_terms(t, T.DAILY), t["fx_filing_index"])
 
 
 @query(
     "run_summary",
     [*DOCUMENTS, "fx_landed_submissions", "fx_filing_index"],
     f"""SELECT 'filings' AS measure, count(*) AS n FROM fx_filing_index
-UNION ALL SELECT 'extracted', count(*) FROM ({TERMS}) t WHERE extraction_method <> 'error'
-UNION ALL SELECT 'companies', count(*) FROM ({METADATA}) m""",
+WHERE form_type = '424B4' AND filing_url IS NOT NULL
+UNION ALL SELECT 'extracted', count(*) FROM ({TERMS}) t
+WHERE extraction_method <> 'error' AND accession_number IN (
+  SELECT accession_number FROM fx_filing_index WHERE form_type = '424B4' AND filing_url IS NOT NULL)
+UNION ALL SELECT 'companies', count(DISTINCT cik) FROM ({METADATA}) m WHERE cik IN (
+  SELECT cik FROM fx_filing_index WHERE form_type = '424B4' AND filing_url IS NOT NULL)""",
 )
 def _(t):
+    batch = _backfill(t)
     return reports.run_summary(
-        t["fx_filing_index"],
-        _document_terms(t, T.DAILY),
-        landed.company_metadata(t["fx_landed_submissions"]),
+        batch["prospectus_filings"], batch["offering_terms"], batch["companies"]
     )
 
 

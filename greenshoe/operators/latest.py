@@ -15,6 +15,11 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
+def newest_landed(df: DataFrame) -> list[Column]:
+    """The order of landed answers, the last one first, where the table has their time."""
+    return [newest("landed_at")] if "landed_at" in df.columns else []
+
+
 def newest(column: str) -> Column:
     """Descending order with NULL first: a row without a timestamp counts as the newest."""
     return F.col(column).desc_nulls_first()

@@ -4,24 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_PART = 1_000_000
-# A key outside the most frequent 1,000 holds less than a thousandth of the rows.
-HOT_KEYS_KEPT = 1_000
-# Rows without a key match nothing; they only have to be spread.
-PARTS_FOR_NULL = 1_024
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """``(key, _parts)`` of the keys with more rows than one task should get.
 
-    Reads one column; the counts are combined before the shuffle. At most ``HOT_KEYS_KEPT`` rows
-    come out, so the result can always be broadcast.
+    Reads one column; the counts are combined before the shuffle. At most a millionth as many
+    rows come out as go in (by ``rows_per_part``), so the result can be broadcast: for 10**12
+    rows it is some tens of MB.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    return (
-        counts.where((F.col("_rows") > rows_per_part) & F.col(key).isNotNull())
-        .orderBy(F.desc("_rows"), F.asc(key))
-        .limit(HOT_KEYS_KEPT)
-        .select(key, F.ceil(F.col("_rows") / rows_per_part).cast("int").alias("_parts"))
+    return counts.where((F.col("_rows") > rows_per_part) & F.col(key).isNotNull()).select(
+        key, F.ceil(F.col("_rows") / rows_per_part).cast("int").alias("_parts")
     )
 
 
@@ -37,12 +31,14 @@ def lookup_join(
     The part follows from the row and the task it is in. So exact copies are spread as well, and
     a task that is repeated deals its rows the same way, in whatever order it gets them.
     """
+    # Rows without a key match nothing; they only have to be spread over the shuffle.
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns])
     dealt = (
         facts.join(F.broadcast(hot), key, "left")
         .withColumn(
             "_part",
-            F.when(F.col(key).isNull(), F.pmod(spread, F.lit(PARTS_FOR_NULL)))
+            F.when(F.col(key).isNull(), F.pmod(spread, F.lit(tasks)))
             .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
             .otherwise(F.lit(0))
             .cast("int"),

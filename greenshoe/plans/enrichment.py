@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
-from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
 from greenshoe.schemas import POST_IPO_FINANCIALS
 from greenshoe.sources.landed import answered, company_facts
 
@@ -16,11 +15,9 @@ def eligible_ciks(mart: DataFrame, as_of: date) -> DataFrame:
     return mart.where(F.col("filing_date") <= latest).select("cik").distinct()
 
 
-def eligible_facts(
-    landed: DataFrame, ciks: DataFrame, rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
-    """Landed rows of eligible companies; a company with very many rows is dealt to many tasks."""
-    return lookup_join(landed, ciks, "cik", hot_keys(landed, "cik", rows_per_part), "left_semi")
+def eligible_facts(landed: DataFrame, ciks: DataFrame) -> DataFrame:
+    """Landed rows of eligible companies. ``enrich`` parses first and never shuffles bodies."""
+    return landed.join(ciks, "cik", "left_semi")
 
 
 def post_ipo_financials(landed: DataFrame) -> DataFrame:
@@ -44,6 +41,4 @@ def post_ipo_financials(landed: DataFrame) -> DataFrame:
 def enrich(landed: DataFrame, mart: DataFrame, as_of: date) -> DataFrame:
     """The weekly batch. Bodies are parsed first, so the join shuffles five short columns."""
     financials = post_ipo_financials(landed).select(*POST_IPO_FINANCIALS.names)
-    # What is counted for hot keys is the landed table, not the parsed one: one column, no JSON.
-    hot = hot_keys(landed, "cik")
-    return lookup_join(financials, eligible_ciks(mart, as_of), "cik", hot, "left_semi")
+    return financials.join(eligible_ciks(mart, as_of), "cik", "left_semi")

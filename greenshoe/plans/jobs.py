@@ -17,7 +17,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from greenshoe import fixed_values as V
 from greenshoe import schemas as S
@@ -74,25 +73,27 @@ class Warehouse:
 
 def create_raw(w: Warehouse) -> None:
     """Empty raw tables; once, before the first batch."""
-    for table, schema in RAW.items():
-        empty = w.spark.createDataFrame([], schema)
-        tables.append(empty, w.path(tables.RAW, table), PARTITIONS.get(table))
+    for table in RAW:
+        tables.create(w.spark, w.path(tables.RAW, table))
     companies = w.spark.createDataFrame([], S.COMPANIES)
     tables.write_version(companies, w.path(tables.RAW, "companies"), 0)
 
 
-def load(w: Warehouse, batch: dict[str, DataFrame], version: int) -> None:
+def load(
+    w: Warehouse, batch: dict[str, DataFrame], version: int, mode: str = terms.DAILY
+) -> None:
     """Append the filings and terms of a batch and write the next version of the companies.
 
-    Versions count from 1. A batch that is repeated writes the same version again.
+    Versions count from 1. A batch that is repeated writes the same load and version again.
     """
-    now = F.current_timestamp()
+    now, name_of_load = F.current_timestamp(), f"batch-{version}"
     filings = batch["prospectus_filings"].withColumn("ingested_at", now)
     name = "prospectus_filings"
-    tables.append(filings, w.path(tables.RAW, name), PARTITIONS[name])
+    tables.append(filings, w.path(tables.RAW, name), name_of_load, PARTITIONS[name])
     found = with_default(batch["offering_terms"], "extraction_method", V.METHOD_REGEX)
     found = found.withColumn("extracted_at", now)
-    tables.append(typed(found, S.OFFERING_TERMS), w.path(tables.RAW, "offering_terms"))
+    found = terms.keep_for(mode, terms.typed(found, S.OFFERING_TERMS))
+    tables.append(found, w.path(tables.RAW, "offering_terms"), name_of_load)
     path = w.path(tables.RAW, "companies")
     current = tables.read_version(w.spark, path, version - 1, S.COMPANIES)
     incoming = batch["companies"].withColumn("ingested_at", now)
@@ -104,23 +105,18 @@ def with_default(df: DataFrame, column: str, value: str) -> DataFrame:
     return df if column in df.columns else df.withColumn(column, F.lit(value))
 
 
-def typed(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns as the table has them. Answers of the fallback are not range-checked, so a figure
-    that does not fit becomes NULL instead of failing the batch."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
-
-
 def extract_days(w: Warehouse, start: date, end: date) -> None:
     """Parse the documents of a range of days; repeated, it replaces its days."""
     extracted = ingest.extract_days(w.landed("documents"), start, end)
     path = w.path(tables.STAGING, "extracted")
-    tables.replace_days(typed(extracted, S.EXTRACTED), path, "filing_date")
+    tables.replace_days(terms.typed(extracted, S.EXTRACTED), path, start, end)
 
 
 def request_fallback(w: Warehouse, start: date, end: date) -> None:
     """Write what the fallback service has to be asked, one JSON line per filing."""
     requests = terms.fallback_requests(w.extracted(start, end), "filing_date")
-    tables.replace_days(requests, w.path(tables.STAGING, "fallback_requests"), "filing_date", "json")
+    path = w.path(tables.STAGING, "fallback_requests")
+    tables.replace_days(requests, path, start, end, "json")
 
 
 def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str = terms.DAILY) -> None:
@@ -134,7 +130,7 @@ def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str =
         end,
         mode,
     )
-    load(w, batch, version)
+    load(w, batch, version, mode)
 
 
 def build_mart(w: Warehouse) -> None:
@@ -150,4 +146,4 @@ def build_mart(w: Warehouse) -> None:
 def enrich(w: Warehouse, as_of: date) -> None:
     """The weekly job."""
     found = enrichment.enrich(w.landed("company_facts"), w.fact(), as_of)
-    tables.append(found, w.path(tables.RAW, "post_ipo_financials"))
+    tables.append(found, w.path(tables.RAW, "post_ipo_financials"), f"enriched-{as_of}")

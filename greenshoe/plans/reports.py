@@ -26,8 +26,9 @@ def sector_summary(mart: DataFrame) -> DataFrame:
 
 
 def type_breakdown(terms: DataFrame) -> DataFrame:
-    """Filings per offering type, most frequent first."""
-    counts = terms.groupBy("offering_type").agg(F.count("*").alias("n"))
+    """Filings per offering type, most frequent first; error rows and NULL are not counted."""
+    read = F.col("offering_type").isNotNull() & (F.col("extraction_method") != V.METHOD_ERROR)
+    counts = terms.where(read).groupBy("offering_type").agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc("offering_type"))
 
 
@@ -39,14 +40,16 @@ def extraction_rate(terms: DataFrame) -> DataFrame:
     )
 
 
-def ipo_listing(terms: DataFrame) -> DataFrame:
-    """The IPOs among extracted terms with what was found for each."""
-    columns = ["cik", "accession_number", "filing_date", "shares_offered", "price_low"]
-    return terms.where(F.col("offering_type") == V.IPO).select(*columns)
+def ipo_listing(terms: DataFrame, filings: DataFrame) -> DataFrame:
+    """The IPOs among extracted terms with their company and what was found for each."""
+    names = filings.select("accession_number", F.col("company_name").alias("company"))
+    columns = ["company", "cik", "accession_number", "filing_date", "shares_offered", "price_low"]
+    ipos = terms.where(F.col("offering_type") == V.IPO)
+    return ipos.join(names, "accession_number").select(*columns)
 
 
 def run_summary(filings: DataFrame, terms: DataFrame, companies: DataFrame) -> DataFrame:
-    """Counts of a run: filings, extracted terms, companies with metadata."""
+    """Counts of a run from its batch: filings, their extracted terms, companies with metadata."""
 
     def counted(df: DataFrame, measure: str, count: Column) -> DataFrame:
         return df.agg(count.alias("n")).select(F.lit(measure).alias("measure"), "n")

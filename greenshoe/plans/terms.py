@@ -2,13 +2,13 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from greenshoe import fixed_values as V
 from greenshoe.functions import offering as O
 from greenshoe.functions.dialect import ascii_digits, once, regex, whole_number
 from greenshoe.functions.text import normalize_whitespace, strip
-from greenshoe.operators.latest import latest_by
-from greenshoe.operators.skew import ROWS_PER_PART, hot_keys, lookup_join
+from greenshoe.operators.latest import latest_by, newest_landed
 
 TERMS = ["offering_type", "shares_offered", "price_low", "price_high", "extraction_method"]
 
@@ -109,21 +109,16 @@ def fold_responses(
     extracted: DataFrame,
     responses: DataFrame,
     filings: DataFrame | None = None,
-    documents: DataFrame | None = None,
-    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Replace the terms of the filings that needed the fallback by its answer.
 
-    A filing whose answer never came is an error row; of several answers one is taken. With ``filings`` given, only documents of
-    those filings are kept. The cover is dropped before the join, so only short rows are
-    shuffled, and once for both purposes.
-
-    ``documents`` is the table the covers come from, if ``extracted`` is not a written table. Its
-    accession numbers are counted to find filings with very many copies, which spares a second
-    extraction just for the count.
+    A filing whose answer never came is an error row; of several answers the newest is taken. With
+    ``filings`` given, only documents of those filings are kept. The cover is dropped before the
+    join, so only short rows are shuffled, and once for both purposes. Accession numbers are all
+    but unique; the few that have very many copies are left to adaptive execution.
     """
     short = extracted.drop("cover").withColumn("_open", needs_fallback())
-    once_each = latest_by(responses.select("accession_number", "raw"), ["accession_number"], [])
+    once_each = latest_by(responses, ["accession_number"], newest_landed(responses))
     answers = parse_responses(once_each).select(
         "accession_number", F.struct(*TERMS).alias("_answer")
     )
@@ -134,20 +129,35 @@ def fold_responses(
         F.lit(None).cast("double").alias("price_high"),
         F.lit(V.METHOD_ERROR).alias("extraction_method"),
     )
-    counted = extracted if documents is None else documents
-    hot = hot_keys(counted, "accession_number", rows_per_part)
     if filings is None:
-        joined = lookup_join(short, answers, "accession_number", hot)
+        joined = short.join(answers, "accession_number", "left")
     else:
         wanted = filings.select("accession_number").distinct()
         answers = wanted.join(answers, "accession_number", "left")
-        joined = lookup_join(short, answers, "accession_number", hot, "inner")
+        joined = short.join(answers, "accession_number")
     own = F.struct(*TERMS)
     chosen = F.when(F.col("_open"), F.coalesce("_answer", error)).otherwise(own)
     others = [c for c in short.columns if c not in TERMS and c != "_open"]
     return joined.select(*others, chosen.alias("_t")).select(*others, "_t.*")
 
 
+def typed(terms: DataFrame, schema: StructType) -> DataFrame:
+    """Columns as the table has them. Answers of the fallback are not range-checked, so a figure
+    may not fit; its row is an error row then."""
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema}
+    figures = ["shares_offered", "price_low", "price_high"]
+    misfits = [F.col(c).isNotNull() & cast[c].isNull() for c in figures]
+    fits = ~(misfits[0] | misfits[1] | misfits[2])
+    errors = {"offering_type": V.UNKNOWN, "extraction_method": V.METHOD_ERROR}
+    columns = [
+        F.when(fits, cast[f.name]).otherwise(F.lit(errors.get(f.name)).cast(f.dataType))
+        if f.name in figures or f.name in errors
+        else cast[f.name]
+        for f in schema
+    ]
+    return terms.select(*[c.alias(f.name) for c, f in zip(columns, schema)])
+
+
 def keep_for(mode: str, terms: DataFrame) -> DataFrame:
     """The daily job stores error rows, the backfill drops them."""
     if mode == DAILY:

@@ -20,7 +20,7 @@ FILING_INDEX = _struct(
     form_type=STRING,
     filing_url=STRING,
 )
-LANDED_BODY = _struct(cik=STRING, http_status=INT, body=STRING)
+LANDED_BODY = _struct(cik=STRING, http_status=INT, body=STRING, landed_at=TIMESTAMP)
 LANDED_DOCUMENT = _struct(
     cik=STRING, accession_number=STRING, filing_date=DATE, http_status=INT, html=STRING
 )
@@ -35,7 +35,7 @@ EXTRACTED = _struct(
     price_high=DOUBLE,
     extraction_method=STRING,
 )
-FALLBACK_RESPONSES = _struct(accession_number=STRING, raw=STRING)
+FALLBACK_RESPONSES = _struct(accession_number=STRING, raw=STRING, landed_at=TIMESTAMP)
 
 # --- raw layer --------------------------------------------------------------------------------
 COMPANIES = _struct(

@@ -49,7 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="greenshoe-"))
         folder = context.getCheckpointDir()

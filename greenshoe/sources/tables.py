@@ -1,5 +1,7 @@
 """Layers, sinks and file exports."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,41 +20,56 @@ def table_name(table: str, custom: str | None, default: str) -> str:
     return f"{layer_name(custom, default)}.{table}"
 
 
+# The innermost partition of tables that grow: which batch or stream batch wrote the rows.
+LOAD = "load"
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def spread_scan(table: DataFrame) -> DataFrame:
-    """A table as it is read, spread over all cores if its files give fewer splits than that.
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Spark's own readers reach them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
-    Meant for text that is costly per row. A large table has splits enough and is left alone;
-    only a table of a few files is shuffled. ``table`` must hold no join or aggregation.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
+def create(spark: SparkSession, path: str) -> None:
+    """An empty table, unless there is one."""
+    files, target = _hadoop(spark, path)
+    files.mkdirs(target)
 
-def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Append rows; keys are not checked, the staging views remove duplicates.
+
+def append(df: DataFrame, path: str, load: str, partition_by: str | None = None) -> None:
+    """Append rows as one load; keys are not checked, the staging views remove duplicates.
+
+    Jobs and streams both write through here, each load under its own name. A load that is
+    written again, after a failure for instance, replaces itself.
 
     With ``partition_by`` the rows are gathered by that column first, so that a range of days does
     not end in a file per task and day. The rebalance still splits a day that is very large.
     """
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(
-            path
-        )
-    else:
-        df.write.mode("append").parquet(path)
+    days = [partition_by] if partition_by else []
+    rows = df.hint("rebalance", *days) if days else df
+    writer = rows.withColumn(LOAD, F.lit(load)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*days, LOAD).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, partition_by: str, kind: str = "parquet") -> None:
-    """Write the partitions that ``df`` has rows for anew and leave the others as they are.
+def replace_days(
+    df: DataFrame, path: str, start: date, end: date, kind: str = "parquet"
+) -> None:
+    """Write a range of ``filing_date`` anew; days without rows are empty afterwards.
 
-    No shuffle: meant for rows that come from a table with the same partitions.
+    No shuffle: meant for rows that come from a table with the same partitions. ``df`` must not
+    read from ``path``. A run that fails in between is repeated as a whole.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition_by).format(kind).save(path)
+    files, _ = _hadoop(df.sparkSession, path)
+    for n in range((end - start).days + 1):
+        _, day = _hadoop(df.sparkSession, f"{path}/filing_date={start + timedelta(n)}")
+        files.delete(day, True)
+    create(df.sparkSession, path)
+    rows = df.withColumn(LOAD, F.lit("days"))
+    rows.write.mode("append").partitionBy("filing_date", LOAD).format(kind).save(path)
 
 
 def rebuild(df: DataFrame, path: str) -> None:
@@ -74,9 +91,14 @@ def read_version(spark: SparkSession, path: str, number: int, schema: StructType
 
 
 def last_version(spark: SparkSession, path: str) -> int | None:
-    """The newest complete version; files of an unfinished one are not visible to the reader."""
-    versions = spark.read.schema("version int").parquet(path)
-    return versions.agg(F.max("version")).first()[0]
+    """The newest complete version, also if it has no rows; None without any.
+
+    A version is complete once Spark has left its mark in it.
+    """
+    files, marks = _hadoop(spark, f"{path}/version=*/_SUCCESS")
+    found = files.globStatus(marks) or []
+    numbers = [int(mark.getPath().getParent().getName().partition("=")[2]) for mark in found]
+    return max(numbers, default=None)
 
 
 def publish_view(df: DataFrame, table: str) -> None:

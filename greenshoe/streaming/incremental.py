@@ -4,7 +4,8 @@ Late and repeated rows need no watermark: the raw tables keep everything and the
 take the last row by timestamp. All checkpoints belong in a folder shared by the cluster.
 """
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from pyspark.sql.types import StructType
 
 from greenshoe.operators.latest import newest
 from greenshoe.operators.upsert import upsert
-from greenshoe.plans.terms import extract
+from greenshoe.plans.terms import extract, typed
 from greenshoe.schemas import COMPANIES, EXTRACTED
 from greenshoe.sources.landed import company_metadata, document_covers
-from greenshoe.sources.tables import last_version, read_version, write_version
+from greenshoe.sources.tables import append, last_version, read_version, write_version
 
 
 def landed_stream(
@@ -27,9 +28,14 @@ def landed_stream(
     return reader.parquet(path)
 
 
-def append_raw(stream: DataFrame, path: str, checkpoint: str, stamp: str) -> StreamingQuery:
-    """Append what has landed, each row stamped with the time of its batch, and stop."""
-    return _append(stream.withColumn(stamp, F.current_timestamp()), path, checkpoint)
+def append_raw(
+    stream: DataFrame, path: str, checkpoint: str, stamp: str, partition_by: str | None = None
+) -> StreamingQuery:
+    """Append what has landed, each row stamped with the time of its batch, and stop.
+
+    ``partition_by`` has to be what the jobs partition the table by, if they write to it too.
+    """
+    return _append(stream.withColumn(stamp, F.current_timestamp()), path, checkpoint, partition_by)
 
 
 def append_extracted(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -37,20 +43,25 @@ def append_extracted(documents: DataFrame, path: str, checkpoint: str) -> Stream
 
     Extraction needs no state and no shuffle, so every document is parsed once, as it lands.
     """
-    extracted = extract(document_covers(documents))
-    typed = [F.col(f.name).cast(f.dataType) for f in EXTRACTED]
-    return _append(extracted.select(*typed), path, checkpoint, partition_by=["filing_date"])
+    extracted = typed(extract(document_covers(documents)), EXTRACTED)
+    return _append(extracted, path, checkpoint, "filing_date")
 
 
 def _append(
-    rows: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
+    rows: DataFrame, path: str, checkpoint: str, partition_by: str | None
 ) -> StreamingQuery:
+    """Each batch is written as the jobs write theirs: a file sink of its own would keep a log by
+    which readers no longer see what others wrote. A repeated batch replaces itself."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, number: int) -> None:
+        append(batch, path, f"stream-{stream}-{number}", partition_by)
+
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy(*partition_by)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )
 
 

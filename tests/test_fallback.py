@@ -64,10 +64,10 @@ def test_fold_responses_of_given_filings(spark):
     assert rows_by(folded, "accession_number") == {key: FOLDED[key] for key in "ac"}
 
 
-def test_copies_of_one_filing_stay_and_are_spread(spark):
+def test_copies_of_one_filing_stay(spark):
     many = covers(spark).where("accession_number = 'a'").crossJoin(spark.range(300)).drop("id")
     extracted = T.extract(many.repartition(8))
-    folded = T.fold_responses(extracted, responses(spark), rows_per_part=10)
+    folded = T.fold_responses(extracted, responses(spark))
     assert [row[3:] for row in folded.groupBy("accession_number", "extraction_method",
             "shares_offered").count().collect()] == [(300,)]
 

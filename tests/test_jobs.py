@@ -1,11 +1,11 @@
 """The whole cycle over folders: ingest, mart, enrichment, mart again."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 from greenshoe import schemas as S
-from greenshoe.plans import jobs
-from greenshoe.plans.terms import BACKFILL
+from greenshoe.plans import ingest, jobs
+from greenshoe.plans.terms import BACKFILL, fold_responses, typed
 
 DAY1, DAY2 = date(2024, 1, 2), date(2024, 1, 3)
 
@@ -19,7 +19,9 @@ def html(shares, price):
 
 
 def land(w, table, rows, **options):
-    df = w.spark.createDataFrame(rows, jobs.LANDED[table])
+    schema = jobs.LANDED[table]
+    rows = [row + (None,) * (len(schema) - len(row)) for row in rows]
+    df = w.spark.createDataFrame(rows, schema)
     df.write.mode("append").partitionBy(*options.get("by", [])).parquet(w.path("landed", table))
 
 
@@ -119,8 +121,52 @@ def test_default_for_a_missing_method(spark):
     assert jobs.with_default(df.drop("extraction_method"), "extraction_method", "regex").first()[1] == "regex"
 
 
-def test_figures_that_do_not_fit_become_null(spark):
-    df = spark.createDataFrame([(1e30, 2.345)], "price_low double, price_high double")
-    schema = spark.createDataFrame([], "price_low decimal(18,2), price_high decimal(18,2)").schema
-    (row,) = jobs.typed(df, schema).collect()
-    assert row.price_low is None and str(row.price_high) in ("2.34", "2.35")
+def test_figures_that_do_not_fit_make_error_rows(spark):
+    schema = "cik string, accession_number string, offering_type string, shares_offered double,"
+    schema += " price_low double, price_high double, extraction_method string, extracted_at timestamp"
+    rows = [("1", "a", "ipo", 5.0, 1e30, 2.5, "llm", None), ("1", "b", "ipo", None, 1.0, 2.5, "llm", None)]
+    stored = typed(spark.createDataFrame(rows, schema), S.OFFERING_TERMS)
+    bad, good = stored.orderBy("accession_number").collect()
+    assert bad[2:7] == ("unknown", None, None, None, "error")
+    assert (good.offering_type, good.shares_offered, float(good.price_high)) == ("ipo", None, 2.5)
+    assert stored.schema == S.OFFERING_TERMS
+
+
+def test_a_mart_of_nothing(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    jobs.create_raw(w)
+    jobs.build_mart(w)
+    assert w.fact().count() == 0 and w.companies().count() == 0
+
+
+def test_a_day_that_is_run_again_leaves_nothing_stale(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    document = w.path("landed", "documents")
+    for body in ("<p>This is an initial public offering.</p>", html(100_000, 10)):
+        rows = spark.createDataFrame([("6", "f", DAY2, 200, body)], jobs.LANDED["documents"])
+        rows.write.mode("overwrite").partitionBy("filing_date").parquet(document)
+        jobs.extract_days(w, DAY1, DAY2)
+        jobs.request_fallback(w, DAY1, DAY2)
+    assert w.extracted(DAY1, DAY2).count() == 1
+    requests = spark.read.schema("accession_number string").json(w.path("staging", "fallback_requests"))
+    assert requests.count() == 0
+
+
+def test_the_newest_answer_counts(spark):
+    early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    body = '{"name":"%s","sic":"%s"}'
+    landed = spark.createDataFrame(
+        [("1", 200, body % ("Zeta", "7372"), early), ("1", 200, body % ("Alpha", "2834"), late)],
+        S.LANDED_BODY,
+    )
+    found = ingest.company_lookup(spark.createDataFrame([("1",)], "cik string"), landed).collect()
+    assert [(r.company_name, r.sic_code) for r in found] == [("Alpha", "2834")]
+    extracted = spark.createDataFrame(
+        [("1", "a", DAY1, "x", "ipo", None, None, None, "regex")], S.EXTRACTED
+    )
+    answers = spark.createDataFrame(
+        [("a", "not json", early), ("a", '{"offering_type":"ipo","shares_offered":20000}', late)],
+        S.FALLBACK_RESPONSES,
+    )
+    (row,) = fold_responses(extracted, answers).collect()
+    assert (row.shares_offered, row.extraction_method) == (20000, "llm")

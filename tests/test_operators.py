@@ -36,6 +36,12 @@ def test_lookup_join_equals_plain_join(spark, how):
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
 
 
+def test_every_hot_key_is_split(spark):
+    rows = spark.range(30_000).select((F.col("id") % 1_500).alias("k"))
+    hot = hot_keys(rows, "k", rows_per_part=10)
+    assert hot.count() == 1_500 and {r["_parts"] for r in hot.collect()} == {2}
+
+
 def test_hot_rows_reach_many_tasks(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -4,17 +4,18 @@ import json
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from greenshoe import schemas as S
 from greenshoe.cases.derived import Tables
 from greenshoe.operators.latest import latest_by, newest
 from greenshoe.plans.staging import stg_prospectus_filings
 from greenshoe.plans.terms import extract
+from greenshoe.plans import jobs
+from greenshoe.sources import tables
 from greenshoe.sources.landed import document_covers
 from greenshoe.streaming import incremental as I
 
-LANDED = T.StructType(S.LANDED_BODY.fields + [T.StructField("landed_at", T.TimestampType())])
+LANDED = S.LANDED_BODY
 
 
 def land(spark, path, rows):
@@ -95,10 +96,53 @@ def test_events_by_day_arrive_in_any_order(spark, folder, tmp_path):
             I.append_raw(stream, raw, checkpoint, "ingested_at").awaitTermination()
     stream = I.landed_stream(spark, landed, events.drop("day").schema)
     I.append_raw(stream, raw, checkpoint, "ingested_at").awaitTermination()
-    got = spark.read.parquet(raw).drop("ingested_at")
+    got = spark.read.parquet(raw).drop("ingested_at", tables.LOAD)
     assert got.count() == events.count()
 
     def last(df):
         return sorted(map(str, latest_by(df, ["user_id"], [newest("ts")]).collect()))
 
     assert last(got) == last(events.drop("day"))
+
+
+def test_stream_and_jobs_share_tables(spark, tmp_path):
+    """Whoever writes first: readers see the rows of both, and a repeated load adds none."""
+    def filing(accession):
+        row = ("1", "n", date(2024, 1, 1), accession, "424B4", "u")
+        return spark.createDataFrame([row], S.FILING_INDEX)
+
+    for first in ("stream", "job"):
+        landed, raw, checkpoint = (str(tmp_path / first / n) for n in ("index", "raw", "checkpoint"))
+        tables.create(spark, raw)
+        filing("s").write.parquet(landed)
+
+        def stream():
+            rows = I.landed_stream(spark, landed, S.FILING_INDEX)
+            I.append_raw(rows, raw, checkpoint, "ingested_at", "filing_date").awaitTermination()
+
+        def job():
+            rows = filing("j").withColumn("ingested_at", F.current_timestamp())
+            tables.append(rows, raw, "batch-1", "filing_date")
+
+        for write in (stream, job) if first == "stream" else (job, stream):
+            write()
+            write()
+        rows = tables.read_table(spark, raw, S.PROSPECTUS_FILINGS).collect()
+        assert sorted(r.accession_number for r in rows) == ["j", "s"]
+
+
+def test_stream_and_jobs_share_extracted_days(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    body = "<p>This is an initial public offering. We are offering 50,000 ordinary shares.</p>"
+    days = [date(2024, 1, n) for n in (1, 2)]
+    for n, day in enumerate(days):
+        row = [("1", f"acc{n}", day, 200, body)]
+        documents = spark.createDataFrame(row, S.LANDED_DOCUMENT)
+        documents.write.mode("append").partitionBy("filing_date").parquet(w.path("landed", "documents"))
+        if n == 0:
+            stream = I.landed_stream(spark, w.path("landed", "documents"), S.LANDED_DOCUMENT)
+            path = w.path(tables.STAGING, "extracted")
+            I.append_extracted(stream, path, str(tmp_path / "checkpoint")).awaitTermination()
+    jobs.extract_days(w, days[1], days[1])
+    jobs.extract_days(w, days[1], days[1])
+    assert sorted(r.accession_number for r in w.extracted(*days).collect()) == ["acc0", "acc1"]

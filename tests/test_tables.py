@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from greenshoe import schemas as S
 from greenshoe.cases import warehouse as W
+from greenshoe.cases import extraction  # noqa: F401  (registers the queries)
 from greenshoe.cases.derived import Tables
+from greenshoe.cases.registry import QUERIES
 from greenshoe.plans import ingest, quality, reports
 from greenshoe.plans import terms as T
 from greenshoe.sources import filings, tables
@@ -31,7 +33,7 @@ def index(spark):
 
 def test_partitioned_index_is_pruned(spark, tmp_path, plan):
     path = str(tmp_path / "index")
-    tables.append(index(spark), path, partition_by="filing_date")
+    tables.append(index(spark), path, "batch-1", partition_by="filing_date")
     table = tables.read_table(spark, path, S.FILING_INDEX)
     day = filings.daily_filings(table, "424B4", date(2024, 1, 1))
     assert [r.accession_number for r in day.collect()] == ["a"]
@@ -44,10 +46,22 @@ def test_partitioned_index_is_pruned(spark, tmp_path, plan):
 
 def test_append_keeps_duplicates_and_takes_empty_batches(spark, tmp_path):
     path = str(tmp_path / "raw")
-    tables.append(index(spark), path)
-    tables.append(index(spark), path)
-    tables.append(index(spark).limit(0), path)
+    tables.append(index(spark), path, "batch-1")
+    tables.append(index(spark), path, "batch-2")
+    tables.append(index(spark).limit(0), path, "batch-3")
     assert tables.read_table(spark, path, S.FILING_INDEX).count() == 8
+    tables.append(index(spark), path, "batch-2")  # a load that is repeated replaces itself
+    table = tables.read_table(spark, path, S.FILING_INDEX)
+    assert table.count() == 8 and table.columns == S.FILING_INDEX.names
+
+
+def test_versions_without_rows_count(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    assert tables.last_version(spark, path) is None
+    for number in (0, 9, 10):
+        tables.write_version(index(spark).limit(0), path, number)
+    (tmp_path / "versions" / "version=11").mkdir()  # not complete
+    assert tables.last_version(spark, path) == 10
 
 
 def test_rebuild_replaces(spark, tmp_path):
@@ -110,7 +124,8 @@ def test_daily_batch(spark):
         ("9", "z", day, 200, "<p>not listed in the index</p>"),
         ("4", "d", date(2024, 1, 3), 200, "<p>another day</p>"),
     ]
-    metadata = [("1", 200, '{"name": "A"}'), ("1", 200, '{"name": "A2"}'), ("4", 200, "{}")]
+    bodies = [("1", 200, '{"name": "A"}'), ("1", 200, '{"name": "A2"}'), ("4", 200, "{}")]
+    metadata = [(*row, None) for row in bodies]
     args = (
         index(spark),
         ingest.extract_days(spark.createDataFrame(documents, S.LANDED_DOCUMENT), day, day),
@@ -138,7 +153,7 @@ def test_html_is_never_shuffled(spark, tmp_path, plan):
     responses = spark.createDataFrame([], "accession_number string, raw string")
     extracted = ingest.extract_days(landed, day, day)
     batch = ingest.batch(index(spark), extracted, spark.createDataFrame([], S.LANDED_BODY),
-                         responses, day, day, documents=landed)
+                         responses, day, day)
     text = plan(batch["offering_terms"])
     assert "PartitionFilters: [isnotnull(filing_date" in text
     below_python = text[text.index("ArrowEvalPython") :]
@@ -165,10 +180,13 @@ def test_suite_counts_failures(spark, folder):
     assert len(quality.suite()) == 13
 
 
-@pytest.mark.parametrize("n", [3, 50])
-def test_spread_scan(spark, tmp_path, n):
-    path = str(tmp_path / "t")
-    spark.range(n).coalesce(1).write.parquet(path)
-    spread = tables.spread_scan(spark.read.parquet(path))
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == n
+@pytest.mark.parametrize("name", ["extract_terms", "backfill_terms", "fallback_requests"])
+def test_no_text_is_shuffled_before_the_parser(spark, folder, plan, name):
+    """In the registered queries too: what is shuffled below the parser has no HTML in it."""
+    text = plan(QUERIES[name](spark, folder))
+    below = text[text.index("ArrowEvalPython") :]
+    below = below[: below.index("FileScan")]
+    for line in below.splitlines():
+        assert "Exchange" not in line or "html" not in line
+    first = below.index("Exchange") if "Exchange" in below else len(below)
+    assert "<html>" in below[:first]  # made after the shuffle of its parts
