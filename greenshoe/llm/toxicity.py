@@ -37,7 +37,7 @@ from greenshoe.llm.shared import (
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The most labelled rows that training uses.
-TRAINING_ROWS = 4_000
+TRAINING_ROWS = 3_000
 SIZES = (4, 5, 6, 7)
 BUCKETS = 1 << 18
 # Of the hashed features, the ones that tell the classes apart best are fitted.
@@ -170,8 +170,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
         return none
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    columns = [place[features] for features in rows]
-    columns = [c[c >= 0] for c in columns]
+    columns = [c[c >= 0] for c in (place[features] for features in rows)]
     owner = np.repeat(np.arange(n, dtype=np.int32), [len(c) for c in columns])
     column = np.concatenate(columns)
     value = ratio[chosen]
@@ -228,11 +227,14 @@ def train(
     label_col: str = "toxic",
 ) -> Model:
     bounded_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, id_col, text_col, label_col).collect()
-    features = [np.frombuffer(r["features"], np.int32) for r in rows]
-    toxic = np.array([r["toxic"] > 0 for r in rows])
-    order = sorted(range(len(rows)), key=lambda i: zlib.crc32(bytes(rows[i]["features"])))
-    return fit([features[i] for i in order], toxic[order] if len(order) else toxic)
+    rows = training_rows(docs, labels, id_col, text_col, label_col).toArrow()
+    toxic = rows["toxic"].to_numpy() > 0
+    # Views of the Arrow buffers, which the driver holds once.
+    features = [
+        np.frombuffer(value.as_buffer() or b"", np.int32) for value in rows["features"]
+    ]
+    order = sorted(range(len(features)), key=lambda i: zlib.crc32(features[i]))
+    return fit([features[i] for i in order], toxic[order])
 
 
 def score(
