@@ -38,8 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC, BLOCK, LEVEL, WIDTH = b"BPT1", 16_384, 3, 4
 END_ID = 2
-# Words whose ids a worker remembers (some 200 MB at most), and words encoded in one call.
-REMEMBERED, AT_ONCE = 1_000_000, 2_000
+# Words whose ids a worker remembers (some 120 MB at most), and words encoded in one call.
+REMEMBERED, AT_ONCE = 600_000, 2_000
 
 
 def filesystem(path: str):

@@ -46,8 +46,8 @@ SMOOTHING, L2, STEPS, RATE = 1.0, 0.1, 150, 0.03
 THRESHOLD = 0.3
 # Contract: rows with this remainder of crc32(id) mod 4 are held out.
 FOLDS, HELD_OUT = 4, 2
-# Words whose features a worker remembers (some 150 MB at most), and words hashed at once.
-REMEMBERED, AT_ONCE = 400_000, 5_000
+# Words whose features a worker remembers (some 100 MB at most), and words hashed at once.
+REMEMBERED, AT_ONCE = 250_000, 5_000
 
 
 def held_out(id_col: str) -> Column:
