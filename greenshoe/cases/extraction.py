@@ -244,7 +244,8 @@ def _(t):
     f"SELECT accession_number, price_low, price_high FROM ({_extracted_sql('fx_covers')}) e",
 )
 def _(t):
-    return T.extract(_covers(t)).select("accession_number", "price_low", "price_high")
+    found = T.extract(_covers(t), (T.PRICE,))
+    return found.select("accession_number", "price_low", "price_high")
 
 
 @query(
@@ -253,7 +254,8 @@ def _(t):
     f"SELECT accession_number, shares_offered, extraction_method FROM ({_extracted_sql('fx_covers')}) e",
 )
 def _(t):
-    return T.extract(_covers(t)).select("accession_number", "shares_offered", "extraction_method")
+    found = T.extract(_covers(t), (T.SHARES,))
+    return found.select("accession_number", "shares_offered", "extraction_method")
 
 
 @query("extract_terms", DOCUMENTS, TERMS)
@@ -416,7 +418,8 @@ def _(t):
 @query(
     "share_phrase_report",
     ["fx_covers"],
-    """SELECT company_name AS company, array_to_string(regexp_extract_all(substring(cover, 1, 3000),
+    """SELECT company_name AS company, substring(cover, 1, 800) AS preview,
+  array_to_string(regexp_extract_all(substring(cover, 1, 3000),
   '[\\d,]{5,}[\\s\\x{00A0}]+(?:ordinary[\\s\\x{00A0}]+)?(?:class[\\s\\x{00A0}]+[a-z][\\s\\x{00A0}]+)?shares?',
   0, 'i')[1:10], '|') AS share_phrases
 FROM fx_covers WHERE contains(lower(company_name), 'er 1') OR contains(lower(company_name), '77')""",
@@ -443,6 +446,19 @@ def _(t):
     return samples.withColumn("dollar_matches", F.array_join("dollar_matches", "|"))
 
 
+@query(
+    "failed_samples",
+    ["fx_cover_parts"],
+    f"""SELECT cast("index" AS int) AS "index", company_name AS company, f.cik, f.accession_number,
+  cast(f.filing_date AS varchar) AS filing_date, filing_url AS url
+FROM (SELECT *, row_number() OVER (ORDER BY filing_date DESC, accession_number) - 1 AS "index"
+  FROM fx_cover_parts) f LEFT JOIN ({DOCUMENT_COVERS}) d ON f.accession_number = d.accession_number
+WHERE "index" < 100 AND cover IS NULL""",
+)
+def _(t):
+    return reports.failed_samples(_covers(t).drop("cover"), t["fx_documents"], 100)
+
+
 # --- web pages -----------------------------------------------------------------------------------------------------
 
 

@@ -212,7 +212,7 @@ WHERE price_to_sales_ratio IS NOT NULL
 ORDER BY price_to_sales_ratio DESC, accession_number LIMIT 10""",
 )
 def _(t):
-    return reports.top_valued(fact_table(t))
+    return reports.top_valued(materialize(base_table(t), "mart-base"))
 
 
 # --- enrichment ----------------------------------------------------------------------------------

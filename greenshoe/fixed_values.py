@@ -95,6 +95,7 @@ COVER_CHARS = 15_000
 FALLBACK_CHARS = 4_000
 SAMPLE_CHARS = 3_000
 PREVIEW_CHARS = 500
+SHARE_PREVIEW_CHARS = 800
 
 FALLBACK_PROMPT = """Extract offering terms from this prospectus cover page.
 Return ONLY a raw JSON object — no markdown, no explanation.

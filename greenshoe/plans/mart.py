@@ -100,11 +100,14 @@ def sector_benchmark(base: DataFrame) -> DataFrame:
     )
 
 
-def with_benchmark(base: DataFrame) -> DataFrame:
-    """The base with benchmark and flag. Companies without a sector are a group of their own."""
+def with_benchmark(base: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """The base, or just ``rows`` of it, with benchmark and flag.
+
+    Companies without a sector are a group of their own.
+    """
     # One row per sector of the fixed rules and one for no sector: always small.
     benchmark = sector_benchmark(base).withColumnRenamed("sector", "_sector")
-    joined = base.join(
+    joined = (base if rows is None else rows).join(
         F.broadcast(benchmark), F.col("sector").eqNullSafe(F.col("_sector")), "left"
     )
     flag = X.valuation_flag(F.col("price_to_sales_ratio"), F.col("sector_median_ps"))

@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 from greenshoe import fixed_values as V
 from greenshoe.functions import text as X
 from greenshoe.functions.dialect import once
+from greenshoe.plans.mart import with_benchmark
 from greenshoe.sources.landed import document_covers
 
 
-def top_valued(mart: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` highest price-to-sales ratios."""
+def top_valued(base: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` highest price-to-sales ratios; only these rows of the base are flagged."""
+    highest = [F.desc("price_to_sales_ratio"), F.asc("accession_number")]
+    top = base.where(F.col("price_to_sales_ratio").isNotNull()).orderBy(*highest).limit(n)
     return (
-        mart.where(F.col("price_to_sales_ratio").isNotNull())
-        .orderBy(F.desc("price_to_sales_ratio"), F.asc("accession_number"))
-        .limit(n)
+        with_benchmark(base, top)
+        .orderBy(*highest)
         .select("company_name", "sector", "price_to_sales_ratio", "valuation_flag")
     )
 
@@ -82,16 +84,24 @@ def with_share_phrases(covers: DataFrame) -> DataFrame:
     return covers.select(*covers.columns, phrases)
 
 
+def _numbered(filings: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` filings, newest first, numbered from 0. The numbering sees ``n`` rows."""
+    newest = Window.orderBy(F.desc("filing_date"), F.asc("accession_number"))
+    return sample_filings(filings, n).withColumn("index", F.row_number().over(newest) - 1)
+
+
+def _chosen_covers(chosen: DataFrame, documents: DataFrame) -> DataFrame:
+    """Covers of the chosen filings; only their documents are parsed, and only they broadcast."""
+    keys = ["cik", "accession_number", "filing_date"]
+    return document_covers(documents.join(F.broadcast(chosen), keys))
+
+
 def cover_samples(filings: DataFrame, documents: DataFrame, n: int) -> DataFrame:
     """The rows of the sample file: the first ``n`` filings, numbered, with their covers.
 
-    The filings are chosen first, so at most ``n`` documents are parsed. The numbering and the
-    broadcast see ``n`` rows. Filings without a readable document are left out.
+    Filings without a readable document are left out; ``failed_samples`` lists them.
     """
-    newest = Window.orderBy(F.desc("filing_date"), F.asc("accession_number"))
-    chosen = sample_filings(filings, n).withColumn("index", F.row_number().over(newest) - 1)
-    keys = ["cik", "accession_number", "filing_date"]
-    covers = document_covers(documents.join(F.broadcast(chosen), keys))
+    covers = _chosen_covers(_numbered(filings, n), documents)
     return with_dollar_phrases(covers.where(F.col("cover").isNotNull())).select(
         "index",
         F.col("company_name").alias("company"),
@@ -103,6 +113,20 @@ def cover_samples(filings: DataFrame, documents: DataFrame, n: int) -> DataFrame
     )
 
 
+def failed_samples(filings: DataFrame, documents: DataFrame, n: int) -> DataFrame:
+    """Those of the first ``n`` filings that have no readable document."""
+    chosen = _numbered(filings, n)
+    read = _chosen_covers(chosen, documents).where(F.col("cover").isNotNull())
+    return chosen.join(read.select("index"), "index", "left_anti").select(
+        "index",
+        F.col("company_name").alias("company"),
+        "cik",
+        "accession_number",
+        F.col("filing_date").cast("string").alias("filing_date"),
+        F.col("filing_url").alias("url"),
+    )
+
+
 def without_dollars(samples: DataFrame) -> DataFrame:
     return samples.where(F.size("dollar_matches") == 0)
 
@@ -128,7 +152,10 @@ def distinct_phrases(samples: DataFrame, order: list[str]) -> DataFrame:
 
 
 def share_phrase_report(samples: DataFrame, names: list[str]) -> DataFrame:
-    """Share-count phrases of the companies whose name contains one of ``names``."""
+    """Share-count phrases of the companies whose name contains one of ``names``, and the start
+    of the cover they are looked for in."""
     return samples.where(X.name_contains_any(F.col("company"), names)).select(
-        "company", X.share_phrases(F.col("cover_3000")).alias("share_phrases")
+        "company",
+        F.substring("cover_3000", 1, V.SHARE_PREVIEW_CHARS).alias("preview"),
+        X.share_phrases(F.col("cover_3000")).alias("share_phrases"),
     )

@@ -15,23 +15,32 @@ TERMS = ["offering_type", "shares_offered", "price_low", "price_high", "extracti
 DAILY, BACKFILL = "daily", "backfill"
 
 
-def extract(covers: DataFrame) -> DataFrame:
+TYPE, PRICE, SHARES = "type", "price", "shares"
+
+
+def extract(covers: DataFrame, parts: tuple[str, ...] = (TYPE, PRICE, SHARES)) -> DataFrame:
     """Terms of every cover; the other columns stay, ``cover`` too.
 
     A cover that is NULL, or whose share count has no digit, gives an error row: type unknown,
-    method ``error`` and no figures.
+    method ``error`` and no figures. Only the columns of ``parts`` are made, and the method. Shares
+    are looked for in any case, as they decide which rows are error rows.
     """
     text = F.col("_text")
-    found = F.struct(
-        O.offering_type(F.col("_lower")).alias("type"),
-        O.price(text).alias("price"),
-        O.shares(text).alias("shares"),
-    )
+    ways = {TYPE: O.offering_type(F.col("_lower")), PRICE: O.price(text), SHARES: O.shares(text)}
+    found = F.struct(*[c.alias(part) for part, c in ways.items() if part in (*parts, SHARES)])
     failed = F.col("cover").isNull() | F.coalesce(F.col("_f.shares") == O.NO_DIGITS, F.lit(False))
 
     def unless_failed(value: str, otherwise: str | None = None) -> Column:
         return F.when(F.col("_failed"), F.lit(otherwise)).otherwise(F.col(value))
 
+    columns = {
+        TYPE: [unless_failed("_f.type", V.UNKNOWN).alias("offering_type")],
+        SHARES: [unless_failed("_f.shares").alias("shares_offered")],
+        PRICE: [
+            unless_failed("_f.price.low").alias("price_low"),
+            unless_failed("_f.price.high").alias("price_high"),
+        ],
+    }
     return (
         covers.withColumn("_lower", F.lower("cover"))
         .withColumn("_text", normalize_whitespace(F.col("cover")))
@@ -40,10 +49,7 @@ def extract(covers: DataFrame) -> DataFrame:
         .withColumn("_failed", failed)
         .select(
             *covers.columns,
-            unless_failed("_f.type", V.UNKNOWN).alias("offering_type"),
-            unless_failed("_f.shares").alias("shares_offered"),
-            unless_failed("_f.price.low").alias("price_low"),
-            unless_failed("_f.price.high").alias("price_high"),
+            *[c for part, made in columns.items() if part in parts for c in made],
             F.when(F.col("_failed"), V.METHOD_ERROR)
             .otherwise(V.METHOD_REGEX)
             .alias("extraction_method"),

@@ -12,6 +12,14 @@ ANSWERS = {
     "": ("unknown", None, None, None, "llm_parse_error"),
     "[1]": ("unknown", None, None, None, "error"),
     "5": ("unknown", None, None, None, "error"),
+    # Figures of the wrong kind are errors, not rounded or left out.
+    '{"offering_type": "ipo", "shares_offered": 1.5}': ("unknown", None, None, None, "error"),
+    '{"offering_type": "ipo", "shares_offered": "20,000"}': ("unknown", None, None, None, "error"),
+    '{"shares_offered": "20000"}': ("unknown", None, None, None, "error"),
+    '{"offering_type": "ipo", "shares_offered": true}': ("unknown", None, None, None, "error"),
+    '{"price_low": "1.5", "shares_offered": 7}': ("unknown", None, None, None, "error"),
+    '{"price_high": [2], "price_low": 1}': ("unknown", None, None, None, "error"),
+    '{"shares_offered": null, "price_low": null}': ("unknown", None, None, None, "llm"),
 }
 
 

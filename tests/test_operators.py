@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from greenshoe.operators import median
 from greenshoe.operators.latest import latest_by, newest
 from greenshoe.operators.median import exact_median
 from greenshoe.operators.skew import hot_keys, lookup_join
@@ -93,6 +94,30 @@ def test_median_of_many_values_is_exact(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("rows", [30_000, 120_000])
+def test_few_values_are_ranked_whatever_the_size(spark, rows):
+    """Cells hold a set share of a group, so finer ones keep what is ranked small."""
+    df = spark.range(rows).select(F.lit("g").alias("_g"), F.hash("id").cast("double").alias("_v"))
+    cells = rows // 100
+    cuts = median._cuts(df, median.MARGIN, cells)
+    middle = median._middle_cells(df, cuts).select("_cell")
+    ranked = median._in_cells(df, cuts).join(middle, "_cell")
+    assert 1 <= ranked.count() <= 20
+
+
+@pytest.mark.parametrize("shift", [-1e9, 1e9])
+def test_a_bad_sketch_only_makes_cells_larger(spark, monkeypatch, shift):
+    df = spark.range(999).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    cuts = median._cuts
+
+    def wrong(known, margin, cells):
+        found = cuts(known, margin, cells)
+        return found.withColumns({c: F.col(c) + shift for c in ("_low", "_high")})
+
+    monkeypatch.setattr(median, "_cuts", wrong)
+    assert [tuple(r) for r in exact_median(df, "g", "v").collect()] == [("g", 499.0, 499.0)]
+
+
 def test_latest_row_wins_and_a_missing_time_counts_as_newest(spark):
     rows = [("a", 1, "x"), ("a", 2, "y"), ("b", None, "n"), ("b", 9, "z"), ("c", 1, "p"), ("c", 1, "q")]
     df = spark.createDataFrame(rows, "k string, t int, v string")

@@ -95,6 +95,8 @@ def test_sample_file(spark, folder, tmp_path):
     back = tables.read_samples(spark, path)
     found = {r["index"] for r in back.collect()}
     assert found < set(range(20)) and len(found) > 10  # some documents could not be fetched
+    failed = reports.failed_samples(t["fx_covers"].drop("cover"), t["fx_documents"], 20)
+    assert {r["index"] for r in failed.collect()} == set(range(20)) - found
     assert {f.name for f in back.schema} == {f.name for f in samples.schema}
 
 
