@@ -77,7 +77,8 @@ def fallback_requests(extracted: DataFrame, *keep: str) -> DataFrame:
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Terms from raw fallback answers ``(accession_number, raw)``, row by row.
 
-    An answer that is no JSON gives ``llm_parse_error``; JSON that is no object is an error row.
+    An answer that is no JSON gives ``llm_parse_error``; JSON that is no object is an error row, and
+    so is one with a figure that is no number, or a share count that is not whole or too large.
     The type defaults to unknown only where its key is absent. Figures are not range-checked.
     """
     unfenced = strip(F.col("raw"))
@@ -90,20 +91,32 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         V.UNKNOWN
     )
 
-    def figure(name: str) -> Column:
-        return F.when(is_object, F.get_json_object(parsed, f"$.{name}"))
+    def text(name: str) -> Column:
+        return F.get_json_object(parsed, f"$.{name}")
+
+    def odd(name: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get("_value", f"$.{name}", "variant"))
+        return F.coalesce(~kind.rlike(r"^(BIGINT|DECIMAL\(.*\)|DOUBLE|VOID)$"), F.lit(False))
+
+    shares = whole_number(text("shares_offered"))
+    is_whole = F.coalesce(shares == text("shares_offered").try_cast("double"), F.lit(False))
+    bad_shares = text("shares_offered").isNotNull() & ~is_whole
+    is_odd = odd("shares_offered") | odd("price_low") | odd("price_high") | bad_shares
+    fits = F.col("_fits")
 
     return (
         responses.withColumn("_json", unfenced)
-        .withColumn("_is_json", F.try_parse_json("_json").isNotNull())
+        .withColumn("_value", F.try_parse_json("_json"))
+        .withColumn("_is_json", F.col("_value").isNotNull())
         .withColumn("_is_object", is_json & F.json_object_keys("_json").isNotNull())
+        .withColumn("_fits", is_object & ~is_odd)
         .select(
             "accession_number",
-            F.when(is_object, offering_type).otherwise(V.UNKNOWN).alias("offering_type"),
-            whole_number(figure("shares_offered")).alias("shares_offered"),
-            figure("price_low").try_cast("double").alias("price_low"),
-            figure("price_high").try_cast("double").alias("price_high"),
-            F.when(is_object, V.METHOD_FALLBACK)
+            F.when(fits, offering_type).otherwise(V.UNKNOWN).alias("offering_type"),
+            F.when(fits, shares).alias("shares_offered"),
+            F.when(fits, text("price_low").try_cast("double")).alias("price_low"),
+            F.when(fits, text("price_high").try_cast("double")).alias("price_high"),
+            F.when(fits, V.METHOD_FALLBACK)
             .when(is_json, V.METHOD_ERROR)
             .otherwise(V.METHOD_FALLBACK_UNPARSED)
             .alias("extraction_method"),
