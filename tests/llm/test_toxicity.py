@@ -81,3 +81,20 @@ def test_odd_rows(spark, odd, nothing):
     assert clean.schema == odd.schema
     assert clean.count() == sum(r["score"] < toxicity.THRESHOLD for r in scores)
     assert toxicity.without_toxic(nothing, model).count() == 0
+
+
+def test_short_words_have_features():
+    assert [len(x) for x in toxicity.words_features(["a", "ab"])] == [1, 3]
+
+
+def test_held_out_rows_are_ranked_by_the_whole_model(spark):
+    folder = "/root/testdata/sf0.1"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    model = toxicity.train(documents, labels)
+    assert len(model.buckets) > 1 << 13
+    held = toxicity.score(documents.where(toxicity.held_out("doc_id")), model)
+    rows = held.join(labels, "doc_id").collect()
+    clean = np.sort([r["score"] for r in rows if not r["toxic"]])
+    toxic = [r["score"] for r in rows if r["toxic"]]
+    assert (np.searchsorted(clean, toxic) / len(clean)).mean() > 0.955  # area under the curve
