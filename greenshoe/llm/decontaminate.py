@@ -45,6 +45,7 @@ MASKS = [
 MIN_TOKENS = 5
 # An overlap counts from so many tokens on (or the whole item), with at least this share equal.
 MIN_OVERLAP, MIN_IDENTITY = 13, 0.8
+COST = round(MIN_IDENTITY / (1 - MIN_IDENTITY))
 # Bits of the filter before the join, as powers of two: sized to the benchmark, 16 MB at most.
 LEAST_BITS, MOST_BITS, PROBES = 20, 27, 3
 BITMAP = 32_768  # bits of one bitmap of Spark's bitmap functions
@@ -198,11 +199,19 @@ def _segments(docs: DataFrame, bits: int, bitmap, reach: int, short: list[int])
 
 
 def best_overlap(equal: np.ndarray) -> tuple[int, int]:
-    """The stretch with the most equal tokens, where a differing one costs two equal ones."""
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-    least = np.minimum.accumulate(total)
-    end = int(np.argmax(total[1:] - least[:-1])) + 1
-    return int(np.flatnonzero(total[:end] == least[end - 1])[-1]), end
+    """The longest stretch with ``MIN_IDENTITY`` equal tokens; of several the first with most equal.
+
+    Each differing token is paid for by four equal ones, so a stretch has the share exactly if its
+    sum is not negative.
+    """
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -COST))])
+    # The greatest sum from each place on falls, so the last end for each start is found by search.
+    rest = np.maximum.accumulate(total[::-1])
+    ends = len(total) - 1 - np.searchsorted(rest, total)
+    sizes = ends - np.arange(len(total))
+    starts = np.flatnonzero(sizes == sizes.max())
+    start = int(starts[np.argmax(total[ends[starts]] - total[starts])])
+    return start, int(ends[start])
 
 
 def _verified(candidates: DataFrame) -> DataFrame:
@@ -223,7 +232,7 @@ def _verified(candidates: DataFrame) -> DataFrame:
                 equal = doc[a + offset : b + offset] == item[a:b]
                 x, y = best_overlap(equal)
                 n = int(equal[x:y].sum())
-                if y - x >= min(MIN_OVERLAP, len(item)) and n >= MIN_IDENTITY * (y - x):
+                if y - x >= min(MIN_OVERLAP, len(item)):
                     keep.append(i)
                     rows.append((n, y - x, shift + a + x, a + x, len(item)))
             names = extra.replace(" int", "").split(", ")

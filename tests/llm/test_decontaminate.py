@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,28 @@ def test_odd_rows(spark, odd, nothing, scratch):
     empty = bench.where(F.lit(False))
     assert overlaps(odd, empty, scratch_again(scratch)).count() == 0
     assert overlaps(nothing, bench, scratch_again(scratch)).count() == 0
+
+
+def test_longest_stretch_against_all_stretches():
+    rng = random.Random(6)
+    for _ in range(400):
+        equal = [rng.random() < rng.choice([0.3, 0.75, 0.85]) for _ in range(rng.randrange(1, 45))]
+        sizes = {(a, b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1)
+                 if 5 * sum(equal[a:b]) >= 4 * (b - a)}
+        longest = max((b - a for a, b in sizes), default=0)
+        a, b = decontaminate.best_overlap(np.array(equal))
+        assert b - a == longest and (not longest or (a, b) in sizes)
+
+
+def test_overlaps_at_the_limit(spark, scratch):
+    rng = random.Random(7)
+    first, second, third = words(rng, 16), words(rng, 13), words(rng, 58)
+    near = [w if i not in (1, 14) else "no" for i, w in enumerate(first)]
+    runs = [w if i < 16 or (i - 16) % 7 > 1 else "no" for i, w in enumerate(third)]
+    texts = [near, ["no", *second[1:]], runs, third[:10]]
+    docs = [(i, " ".join(words(rng, 30) + t + words(rng, 30))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(i, " ".join(t), "") for i, t in enumerate((first, second, third))]
+    found = overlaps(docs, spark.createDataFrame(items, ITEMS), scratch).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (1, 1), (2, 2)]
+    assert all(5 * r["n_equal"] >= 4 * r["n_compared"] for r in found)
