@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from greenshoe.llm import (
     chat_format,
     decontaminate,
+    hard_negatives,
     jaccard_join,
+    lexical_search,
     line_dedup,
+    quality_model,
     quality_rules,
     secret_scan,
     source_mix,
@@ -336,3 +339,84 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), Scratch(spark, "op10"), IDS_VOCABULARY
     )
     return token_files.read_documents(files)
+
+
+_OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (
+  SELECT row, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+sizes AS (
+  SELECT row, count(*) AS n FROM d GROUP BY row),
+figures AS (
+  SELECT count(*) AS docs, cast(sum(n) AS BIGINT) AS total FROM sizes),
+df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (
+  SELECT term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, figures),
+factors AS (
+  SELECT row, 100 - 90 + (90 * n * docs) // total AS m FROM sizes, figures),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, row, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN factors USING (row)
+  GROUP BY item_id, row, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, cast(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query("op11_lexical_search", _OP11_SQL)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), Scratch(spark, "op11")
+    )
+
+
+@query("op12_quality_model")
+def op12_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_model.train(docs, table(spark, folder, "labels"))
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        quality_model.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+_OP13_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    cast(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+hard AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, row_number() OVER (
+      PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS rank,
+    n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, cast(rank AS INT) AS rank, negative_id, positive_score, negative_score
+FROM hard WHERE rank <= 3"""
+
+
+@query("op13_hard_negatives", _OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), Scratch(spark, "op13"))
