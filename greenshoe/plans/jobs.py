@@ -2,7 +2,7 @@
 
     landed/   filing_index documents submissions company_facts fallback_responses
     staging/  extracted fallback_requests
-    raw/      prospectus_filings offering_terms post_ipo_financials companies/version=N
+    raw/      prospectus_filings offering_terms post_ipo_financials company_changes
     marts/    fct_ipo_offerings
 
 Documents are parsed once, by ``extract_days``. The requests and the terms both start from what it
@@ -15,14 +15,13 @@ mart, so the order is: mart, enrichment, mart again.
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
 from greenshoe import schemas as S
-from greenshoe.operators.upsert import upsert
-from greenshoe.plans import enrichment, ingest, mart, terms
-from greenshoe.sources import tables
+from greenshoe.plans import enrichment, ingest, mart, reports, terms
+from greenshoe.sources import changes, tables
 
 LANDED = {
     "filing_index": S.FILING_INDEX,
@@ -37,6 +36,8 @@ RAW = {
     "post_ipo_financials": S.POST_IPO_FINANCIALS,
 }
 PARTITIONS = {"prospectus_filings": "filing_date"}
+# Companies by what was merged into them, and where warehouses of before keep whole versions.
+COMPANY_CHANGES, COMPANY_VERSIONS = "company_changes", "companies"
 FACT = "fct_ipo_offerings"
 
 
@@ -62,42 +63,62 @@ class Warehouse:
         return ingest.documents_between(table, start, end)
 
     def companies(self) -> DataFrame:
-        path = self.path(tables.RAW, "companies")
-        return tables.read_version(
-            self.spark, path, tables.last_version(self.spark, path), S.COMPANIES
-        )
+        path = self.path(tables.RAW, COMPANY_CHANGES)
+        return changes.read(self.spark, path, S.COMPANIES, ["cik"])
 
     def fact(self) -> DataFrame:
         return self.spark.read.parquet(self.path(tables.MARTS, FACT))
 
 
 def create_raw(w: Warehouse) -> None:
-    """Empty raw tables; once, before the first batch."""
+    """Empty raw tables; once, before the first batch.
+
+    The last version of a company table that an earlier release wrote is taken over.
+    """
     for table in RAW:
         tables.create(w.spark, w.path(tables.RAW, table))
-    companies = w.spark.createDataFrame([], S.COMPANIES)
-    tables.write_version(companies, w.path(tables.RAW, "companies"), 0)
+    path, versions = (w.path(tables.RAW, t) for t in (COMPANY_CHANGES, COMPANY_VERSIONS))
+    tables.create(w.spark, path)
+    last = tables.last_version(w.spark, versions)
+    if last is not None and not changes.changes(w.spark, path, S.COMPANIES).inputFiles():
+        rows = tables.read_version(w.spark, versions, last, S.COMPANIES)
+        changes.merge(rows, path, "versions", S.COMPANIES, changes.before_all())
 
 
 def load(
-    w: Warehouse, batch: dict[str, DataFrame], version: int, mode: str = terms.DAILY
-) -> None:
-    """Append the filings and terms of a batch and write the next version of the companies.
+    w: Warehouse, batch: dict[str, DataFrame], number: int, mode: str = terms.DAILY
+) -> dict[str, int]:
+    """Append the filings and terms of a batch and merge its companies.
 
-    Versions count from 1. A batch that is repeated writes the same load and version again.
+    A batch that is repeated under its number writes the same load again. Gives the counts of the
+    run, as ``reports.run_summary`` does, taken from the rows as they are written.
     """
-    now, name_of_load = F.current_timestamp(), f"batch-{version}"
+    now, name_of_load = F.current_timestamp(), f"batch-{number}"
+    counts: dict[str, int] = {}
+
+    def append(rows: DataFrame, table: str, measure: str, count: Column) -> None:
+        seen = Observation(measure)
+        path = w.path(tables.RAW, table)
+        tables.append(rows, path, name_of_load, PARTITIONS.get(table), seen, count.alias("n"))
+        counts[measure] = seen.get.get("n", 0)
+
     filings = batch["prospectus_filings"].withColumn("ingested_at", now)
-    name = "prospectus_filings"
-    tables.append(filings, w.path(tables.RAW, name), name_of_load, PARTITIONS[name])
+    append(filings, "prospectus_filings", "filings", F.count("*"))
     found = with_default(batch["offering_terms"], "extraction_method", V.METHOD_REGEX)
     found = found.withColumn("extracted_at", now)
     found = terms.keep_for(mode, terms.typed(found, S.OFFERING_TERMS))
-    tables.append(found, w.path(tables.RAW, "offering_terms"), name_of_load)
-    path = w.path(tables.RAW, "companies")
-    current = tables.read_version(w.spark, path, version - 1, S.COMPANIES)
+    append(found, "offering_terms", "extracted", reports.extracted())
+    seen = Observation("companies")
     incoming = batch["companies"].withColumn("ingested_at", now)
-    tables.write_version(upsert(current, incoming, ["cik"], []), path, version)
+    incoming = incoming.observe(seen, F.count("*").alias("n"))
+    changes.merge(incoming, w.path(tables.RAW, COMPANY_CHANGES), name_of_load, S.COMPANIES)
+    counts["companies"] = seen.get.get("n", 0)
+    return counts
+
+
+def compact_companies(w: Warehouse) -> None:
+    """Bring the merged companies down to one row each; at any time, changes no result."""
+    changes.compact(w.spark, w.path(tables.RAW, COMPANY_CHANGES), S.COMPANIES, ["cik"])
 
 
 def with_default(df: DataFrame, column: str, value: str) -> DataFrame:
@@ -119,8 +140,10 @@ def request_fallback(w: Warehouse, start: date, end: date) -> None:
     tables.replace_days(requests, path, start, end, "json")
 
 
-def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str = terms.DAILY) -> None:
-    """The daily job (one day) or the backfill (a range of days in one job)."""
+def ingest_days(
+    w: Warehouse, start: date, end: date, version: int, mode: str = terms.DAILY
+) -> dict[str, int]:
+    """The daily job (one day) or the backfill (a range of days in one job); gives its counts."""
     batch = ingest.batch(
         w.landed("filing_index"),
         w.extracted(start, end),
@@ -130,7 +153,7 @@ def ingest_days(w: Warehouse, start: date, end: date, version: int, mode: str =
         end,
         mode,
     )
-    load(w, batch, version, mode)
+    return load(w, batch, version, mode)
 
 
 def build_mart(w: Warehouse) -> None:

@@ -50,16 +50,20 @@ def ipo_listing(terms: DataFrame, filings: DataFrame) -> DataFrame:
     return ipos.join(names, "accession_number").select(*columns)
 
 
+def extracted() -> Column:
+    """How many terms were extracted; error rows do not count."""
+    return F.count_if(F.col("extraction_method") != V.METHOD_ERROR)
+
+
 def run_summary(filings: DataFrame, terms: DataFrame, companies: DataFrame) -> DataFrame:
     """Counts of a run from its batch: filings, their extracted terms, companies with metadata."""
 
     def counted(df: DataFrame, measure: str, count: Column) -> DataFrame:
         return df.agg(count.alias("n")).select(F.lit(measure).alias("measure"), "n")
 
-    extracted = F.count_if(F.col("extraction_method") != V.METHOD_ERROR)
     return (
         counted(filings, "filings", F.count("*"))
-        .unionByName(counted(terms, "extracted", extracted))
+        .unionByName(counted(terms, "extracted", extracted()))
         .unionByName(counted(companies, "companies", F.count("*")))
     )
 

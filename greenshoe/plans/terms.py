@@ -74,42 +74,56 @@ def fallback_requests(extracted: DataFrame, *keep: str) -> DataFrame:
     return extracted.where(needs_fallback()).select("accession_number", *keep, prompt)
 
 
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def _answers(listed: Column, kind: str) -> Column:
+    """A list of answers, every figure as a value of one kind."""
+    names = [name for name in TERMS if name != "extraction_method"]
+    return F.from_json(listed, f"array<struct<{', '.join(f'{n} {kind}' for n in names)}>>", _STRICT)
+
+
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Terms from raw fallback answers ``(accession_number, raw)``, row by row.
 
     An answer that is no JSON gives ``llm_parse_error``; JSON that is no object is an error row, and
     so is one with a figure that is no number, or a share count that is not whole or too large.
+    JSON is read leniently: of repeated keys the last counts, and NaN and the infinities are numbers.
     The type defaults to unknown only where its key is absent. Figures are not range-checked.
     """
     unfenced = strip(F.col("raw"))
     for fence in (V.FENCE_START_PATTERN, V.FENCE_END_PATTERN):
         unfenced = F.regexp_replace(unfenced, regex(fence), "")
-
-    parsed, is_json, is_object = F.col("_json"), F.col("_is_json"), F.col("_is_object")
-    has_type = F.array_contains(F.json_object_keys(parsed), "offering_type")
-    offering_type = F.when(has_type, F.get_json_object(parsed, "$.offering_type")).otherwise(
-        V.UNKNOWN
-    )
+    # As the only element of a list, so that nothing may follow the value.
+    listed = F.concat(F.lit("["), F.col("_text"), F.lit("]"))
+    values = F.from_json(listed, "array<string>", _STRICT)
+    is_object = F.ltrim("_text", F.lit(" \n\r\t")).startswith("{")
+    is_json, answer, written = F.col("_is_json"), F.col("_answer"), F.col("_written")
 
     def text(name: str) -> Column:
-        return F.get_json_object(parsed, f"$.{name}")
+        return F.try_variant_get(answer[name], "$", "string")
 
     def odd(name: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get("_value", f"$.{name}", "variant"))
-        return F.coalesce(~kind.rlike(r"^(BIGINT|DECIMAL\(.*\)|DOUBLE|VOID)$"), F.lit(False))
+        # A variant tells a number from a string; an object that it cannot hold is there as text.
+        kind = F.schema_of_variant(answer[name])
+        is_number = kind.rlike(r"^(BIGINT|DECIMAL\(.*\)|DOUBLE|FLOAT|VOID)$")
+        return F.coalesce(~is_number, written[name].isNotNull())
 
     shares = whole_number(text("shares_offered"))
     is_whole = F.coalesce(shares == text("shares_offered").try_cast("double"), F.lit(False))
     bad_shares = text("shares_offered").isNotNull() & ~is_whole
     is_odd = odd("shares_offered") | odd("price_low") | odd("price_high") | bad_shares
+    offering_type = F.when(answer["offering_type"].isNull(), V.UNKNOWN).otherwise(
+        text("offering_type")
+    )
     fits = F.col("_fits")
 
     return (
-        responses.withColumn("_json", unfenced)
-        .withColumn("_value", F.try_parse_json("_json"))
-        .withColumn("_is_json", F.col("_value").isNotNull())
-        .withColumn("_is_object", is_json & F.json_object_keys("_json").isNotNull())
-        .withColumn("_fits", is_object & ~is_odd)
+        responses.withColumn("_text", unfenced)
+        .withColumn("_is_json", F.coalesce(F.size(values) == 1, F.lit(False)))
+        .withColumn("_answer", F.when(is_json & is_object, _answers(listed, "VARIANT")[0]))
+        .withColumn("_written", F.when(is_json & is_object, _answers(listed, "STRING")[0]))
+        .withColumn("_fits", answer.isNotNull() & ~is_odd)
         .select(
             "accession_number",
             F.when(fits, offering_type).otherwise(V.UNKNOWN).alias("offering_type"),

@@ -2,7 +2,7 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,7 +28,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path):
     """The file system of a path and the path, as Spark's own readers reach them."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -36,23 +36,61 @@ def _hadoop(spark: SparkSession, path: str):
 
 def create(spark: SparkSession, path: str) -> None:
     """An empty table, unless there is one."""
-    files, target = _hadoop(spark, path)
+    files, target = hadoop(spark, path)
     files.mkdirs(target)
 
 
-def append(df: DataFrame, path: str, load: str, partition_by: str | None = None) -> None:
+def delete(spark: SparkSession, path) -> None:
+    """Delete a file or folder, if it is there."""
+    files, target = hadoop(spark, path)
+    files.delete(target, True)
+
+
+def append(
+    df: DataFrame,
+    path: str,
+    load: str,
+    partition_by: str | None = None,
+    observed: Observation | None = None,
+    *figures: Column,
+) -> None:
     """Append rows as one load; keys are not checked, the staging views remove duplicates.
 
     Jobs and streams both write through here, each load under its own name. A load that is
-    written again, after a failure for instance, replaces itself.
+    written again, after a failure for instance, replaces itself: partitions that it had rows in
+    before and has none now are emptied.
 
     With ``partition_by`` the rows are gathered by that column first, so that a range of days does
     not end in a file per task and day. The rebalance still splits a day that is very large.
+
+    ``observed`` gets the figures of the rows as they are written, without a pass of its own. They
+    are taken behind the last shuffle, where every row is counted once whatever is run again.
     """
     days = [partition_by] if partition_by else []
     rows = df.hint("rebalance", *days) if days else df
+    if observed is not None:
+        rows = rows.observe(observed, *figures)
+    before = _files_of_load(df.sparkSession, path, days, load)
     writer = rows.withColumn(LOAD, F.lit(load)).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*days, LOAD).parquet(path)
+    if before:
+        now = _files_of_load(df.sparkSession, path, days, load)
+        for folder, files in before.items():
+            if now.get(folder) == files:  # not written this time
+                delete(df.sparkSession, folder)
+
+
+def _files_of_load(
+    spark: SparkSession, path: str, days: list[str], load: str
+) -> dict[str, set[str]]:
+    """The names of a load's files by partition."""
+    levels = [f"{day}=*" for day in days]
+    system, pattern = hadoop(spark, "/".join([path, *levels, f"{LOAD}={load}", "*"]))
+    found: dict[str, set[str]] = {}
+    for status in system.globStatus(pattern) or []:
+        file = status.getPath()
+        found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
 
 
 def replace_days(
@@ -63,9 +101,9 @@ def replace_days(
     No shuffle: meant for rows that come from a table with the same partitions. ``df`` must not
     read from ``path``. A run that fails in between is repeated as a whole.
     """
-    files, _ = _hadoop(df.sparkSession, path)
+    files, _ = hadoop(df.sparkSession, path)
     for n in range((end - start).days + 1):
-        _, day = _hadoop(df.sparkSession, f"{path}/filing_date={start + timedelta(n)}")
+        _, day = hadoop(df.sparkSession, f"{path}/filing_date={start + timedelta(n)}")
         files.delete(day, True)
     create(df.sparkSession, path)
     rows = df.withColumn(LOAD, F.lit("days"))
@@ -95,7 +133,7 @@ def last_version(spark: SparkSession, path: str) -> int | None:
 
     A version is complete once Spark has left its mark in it.
     """
-    files, marks = _hadoop(spark, f"{path}/version=*/_SUCCESS")
+    files, marks = hadoop(spark, f"{path}/version=*/_SUCCESS")
     found = files.globStatus(marks) or []
     numbers = [int(mark.getPath().getParent().getName().partition("=")[2]) for mark in found]
     return max(numbers, default=None)

@@ -1,23 +1,23 @@
 """Incremental ingest: append newly landed files, keep the company table up to date.
 
 Late and repeated rows need no watermark: the raw tables keep everything and the staging views
-take the last row by timestamp. All checkpoints belong in a folder shared by the cluster.
+take the last row by timestamp. Where a source repeats itself a lot, ``Lateness`` removes repeats
+on the way in, with bounded state. All checkpoints belong in a folder shared by the cluster.
 """
 
 import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from greenshoe.operators.latest import newest
-from greenshoe.operators.upsert import upsert
 from greenshoe.plans.terms import extract, typed
 from greenshoe.schemas import COMPANIES, EXTRACTED
+from greenshoe.sources import changes, tables
 from greenshoe.sources.landed import company_metadata, document_covers
-from greenshoe.sources.tables import append, last_version, read_version, write_version
 
 
 def landed_stream(
@@ -28,14 +28,45 @@ def landed_stream(
     return reader.parquet(path)
 
 
+@dataclass(frozen=True)
+class Lateness:
+    """Repeats of a key within ``bound`` of each other, by the times in ``time``, are one row.
+
+    The state holds the keys of that long only. Rows that come later than ``bound`` behind the
+    newest time seen are dropped; ``late_rows`` counts them.
+    """
+
+    keys: list[str]
+    time: str
+    bound: str
+
+    def __call__(self, stream: DataFrame) -> DataFrame:
+        known = stream.withWatermark(self.time, self.bound)
+        return known.dropDuplicatesWithinWatermark(self.keys)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a finished query has dropped as they came later than its bound allows."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
 def append_raw(
-    stream: DataFrame, path: str, checkpoint: str, stamp: str, partition_by: str | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    stamp: str,
+    partition_by: str | None = None,
+    lateness: Lateness | None = None,
 ) -> StreamingQuery:
     """Append what has landed, each row stamped with the time of its batch, and stop.
 
-    ``partition_by`` has to be what the jobs partition the table by, if they write to it too.
+    ``partition_by`` has to be what the jobs partition the table by, if they write to it too. All
+    rows are kept as they are, however late and however often they come, unless ``lateness`` bounds
+    for how long repeats are looked for.
     """
-    return _append(stream.withColumn(stamp, F.current_timestamp()), path, checkpoint, partition_by)
+    rows = stream if lateness is None else lateness(stream)
+    return _append(rows.withColumn(stamp, F.current_timestamp()), path, checkpoint, partition_by)
 
 
 def append_extracted(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -52,50 +83,49 @@ def _append(
 ) -> StreamingQuery:
     """Each batch is written as the jobs write theirs: a file sink of its own would keep a log by
     which readers no longer see what others wrote. A repeated batch replaces itself."""
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    name = _name_of(checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
-        append(batch, path, f"stream-{stream}-{number}", partition_by)
+        tables.append(batch, path, f"stream-{name}-{number}", partition_by)
+
+    return _run(rows.writeStream.foreachBatch(write), checkpoint)
 
-    return (
-        rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def _name_of(checkpoint: str) -> str:
+    """A stream's part in the names of its loads."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+
+def _run(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
+    """Take what has landed and stop."""
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of the company table."""
-    return read_version(spark, path, last_version(spark, path), COMPANIES)
+    """The company table: the newest row of every company, whoever merged it."""
+    return changes.read(spark, path, COMPANIES, ["cik"])
 
 
 def upsert_companies(
     stream: DataFrame,
     path: str,
     checkpoint: str,
-    initial: DataFrame,
+    initial: DataFrame | None = None,
     now: Callable[[], Column] = F.current_timestamp,
 ) -> StreamingQuery:
     """Merge landed metadata ``(cik, http_status, body, landed_at)`` into the company table.
 
-    Batch n reads version n - 1 and writes version n. A batch that is repeated after a failure
-    writes the same version again, so nothing is merged twice.
+    A batch appends the rows it got and reads nothing. One that is repeated after a failure appends
+    them again, which changes no company. ``initial`` rows go into the table with the first batch
+    and give way to any other.
     """
+    name = _name_of(checkpoint)
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if number == 0:
-            current = initial
-        else:
-            current = read_version(spark, path, number - 1, COMPANIES)
+        if number == 0 and initial is not None:
+            changes.merge(initial, path, f"initial-{name}", COMPANIES, changes.before_all())
         incoming = company_metadata(batch, "landed_at").withColumn("ingested_at", now())
-        merged = upsert(current, incoming, ["cik"], [newest("landed_at")])
-        write_version(merged.select(*COMPANIES.names), path, number)
-
-    return (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        changes.merge(incoming, path, f"stream-{name}-{number}", COMPANIES)
+
+    tables.create(stream.sparkSession, path)
+    return _run(stream.writeStream.foreachBatch(merge), checkpoint)

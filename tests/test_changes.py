@@ -1,0 +1,240 @@
+"""The company table that jobs and streams merge into, run counts, repeated loads, lateness."""
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from greenshoe import schemas as S
+from greenshoe.plans import jobs, reports
+from greenshoe.sources import changes, tables
+from greenshoe.streaming import incremental as I
+
+from test_jobs import DAY1, DAY2, landed
+
+KEYS = ["k"]
+PAIRS = S._struct(k=S.STRING, v=S.LONG)
+
+
+def pairs(spark, **values):
+    return spark.createDataFrame(list(values.items()), PAIRS)
+
+
+def held(spark, path):
+    return {r.k: r.v for r in changes.read(spark, path, PAIRS, KEYS).collect()}
+
+
+def files(tmp_path):
+    return sorted(p.name for p in (tmp_path / "t").glob("load=*/*.parquet"))
+
+
+def test_later_merges_win_and_nothing_is_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    changes.merge(pairs(spark, a=1, b=1), path, "one", PAIRS)
+    first = files(tmp_path)
+    changes.merge(pairs(spark, b=2, c=2), path, "two", PAIRS)
+    assert held(spark, path) == {"a": 1, "b": 2, "c": 2}
+    assert set(first) < set(files(tmp_path))
+    assert changes.changes(spark, path, PAIRS).count() == 4  # as many rows as came
+    changes.merge(pairs(spark, b=2, c=2), path, "two", PAIRS)  # repeated after a failure
+    changes.merge(pairs(spark).limit(0), path, "three", PAIRS)
+    assert held(spark, path) == {"a": 1, "b": 2, "c": 2}
+
+
+def test_the_last_landed_row_of_a_merge_counts(spark, tmp_path):
+    path, early, late = str(tmp_path / "t"), datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [("a", 2, late), ("a", 1, early), ("b", 1, late), ("b", 3, None)]
+    df = spark.createDataFrame(rows, "k string, v long, landed_at timestamp")
+    changes.merge(df, path, "one", PAIRS)
+    assert held(spark, path) == {"a": 2, "b": 3}
+
+
+def test_compaction_changes_no_result(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert changes.compact(spark, path, PAIRS, KEYS) == 0  # nothing there
+    for n in range(4):
+        changes.merge(pairs(spark, a=n, **{f"x{n}": n}), path, f"load-{n}", PAIRS)
+    before, reader = held(spark, path), changes.read(spark, path, PAIRS, KEYS)
+    originals = files(tmp_path)
+    assert changes.compact(spark, path, PAIRS, KEYS) == len(originals)
+    assert held(spark, path) == before and set(originals) < set(files(tmp_path))
+    assert reader.count() == len(before)  # a reader from before can finish
+    assert changes.compact(spark, path, PAIRS, KEYS) == 0  # deletes, and has nothing to do
+    assert held(spark, path) == before and not set(originals) & set(files(tmp_path))
+    assert changes.changes(spark, path, PAIRS).count() == len(before)
+    changes.merge(pairs(spark, a=9), path, "load-0", PAIRS)  # a name from before
+    assert held(spark, path) == before | {"a": 9}
+    changes.compact(spark, path, PAIRS, KEYS)
+    changes.compact(spark, path, PAIRS, KEYS)
+    assert held(spark, path) == before | {"a": 9}
+    assert changes.changes(spark, path, PAIRS).count() == len(before)
+
+
+def test_a_merge_between_listing_and_retiring_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    changes.merge(pairs(spark, a=1), path, "one", PAIRS)
+    newest_rows = changes._newest_rows
+
+    def late(rows, keys):
+        changes.merge(pairs(spark, a=2, b=2), path, "one", PAIRS)
+        return newest_rows(rows, keys)
+
+    monkeypatch.setattr(changes, "_newest_rows", late)
+    changes.compact(spark, path, PAIRS, KEYS)
+    monkeypatch.undo()
+    assert held(spark, path) == {"a": 2, "b": 2}
+    changes.compact(spark, path, PAIRS, KEYS)
+    changes.compact(spark, path, PAIRS, KEYS)
+    assert held(spark, path) == {"a": 2, "b": 2}
+
+
+def test_a_failed_compaction_is_harmless(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    changes.merge(pairs(spark, a=1, b=1), path, "one", PAIRS)
+    changes.merge(pairs(spark, a=2), path, "two", PAIRS)
+
+    def fail(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr(changes, "hadoop", fail)
+    monkeypatch.setattr(changes, "_delete_retired", lambda *_: None)
+    with pytest.raises(RuntimeError):
+        changes.compact(spark, path, PAIRS, KEYS)
+    monkeypatch.undo()
+    assert held(spark, path) == {"a": 2, "b": 1}
+    changes.compact(spark, path, PAIRS, KEYS)
+    changes.compact(spark, path, PAIRS, KEYS)
+    assert held(spark, path) == {"a": 2, "b": 1}
+
+
+# --- jobs and streams ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("order", ["jsj", "sjs"])
+def test_jobs_and_streams_share_the_companies(spark, tmp_path, order):
+    """Whoever comes first: every company is seen, as the last merge has it."""
+    w = jobs.Warehouse(spark, str(tmp_path))
+    jobs.create_raw(w)
+    stream_folder, table = str(tmp_path / "metadata"), w.path("raw", "company_changes")
+    expected = {}
+    for n, who in enumerate(order):
+        names = {"1": f"{who}{n}", f"1{n}": f"{who}{n}"}
+        expected |= names
+        if who == "s":
+            rows = [(k, 200, json.dumps({"name": v, "sic": "7372"}), datetime(2024, 1, 1 + n)) for k, v in names.items()]
+            spark.createDataFrame(rows, S.LANDED_BODY).write.mode("append").parquet(stream_folder)
+            before = changes.changes(spark, table, S.COMPANIES).count()
+            stream = I.landed_stream(spark, stream_folder, S.LANDED_BODY)
+            I.upsert_companies(stream, table, str(tmp_path / "checkpoint")).awaitTermination()
+            assert changes.changes(spark, table, S.COMPANIES).count() == before + len(rows)
+        else:
+            rows = [(k, v, "7372", None, None, None) for k, v in names.items()]
+            batch = {
+                "companies": spark.createDataFrame(rows, ", ".join(f"{c} string" for c in S.COMPANIES.names[:-1])),
+                "prospectus_filings": spark.createDataFrame([], S.FILING_INDEX),
+                "offering_terms": spark.createDataFrame([], S.EXTRACTED),
+            }
+            assert jobs.load(w, batch, n + 1) == {"filings": 0, "extracted": 0, "companies": 2}
+        assert {r.cik: r.company_name for r in w.companies().collect()} == expected
+        if n == 1:
+            jobs.compact_companies(w)
+            assert {r.cik: r.company_name for r in I.read_companies(spark, table).collect()} == expected
+    assert w.companies().schema == S.COMPANIES
+
+
+def test_company_versions_of_before_are_taken_over(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    old = spark.createDataFrame([("1", "Old", "7372", None, None, None, None)], S.COMPANIES)
+    for number in (0, 1):
+        tables.write_version(old.limit(number), w.path("raw", "companies"), number)
+    jobs.create_raw(w)
+    jobs.create_raw(w)
+    assert [r.company_name for r in w.companies().collect()] == ["Old"]
+    assert changes.changes(spark, w.path("raw", "company_changes"), S.COMPANIES).count() == 1
+
+
+def test_ingest_gives_the_counts_of_the_run(spark, tmp_path):
+    w = jobs.Warehouse(spark, str(tmp_path))
+    landed(w)
+    jobs.create_raw(w)
+    jobs.extract_days(w, DAY1, DAY2)
+    for n, (start, end) in enumerate([(DAY1, DAY1), (DAY1, DAY2), (date(2023, 1, 1), date(2023, 1, 2))]):
+        batch = jobs.ingest.batch(
+            w.landed("filing_index"), w.extracted(start, end), w.landed("submissions"),
+            w.landed("fallback_responses"), start, end,
+        )
+        summary = reports.run_summary(
+            batch["prospectus_filings"], batch["offering_terms"], batch["companies"]
+        )
+        expected = {r.measure: r.n for r in summary.collect()}
+        assert jobs.ingest_days(w, start, end, n + 1) == expected
+    assert expected == {"filings": 0, "extracted": 0, "companies": 0}
+
+
+def test_counts_cost_no_scan(spark, tmp_path, plan):
+    """The counting node lies in the plan that writes, above its last shuffle."""
+    from pyspark.sql import Observation
+
+    rows = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit(DAY1).alias("day"))
+    plain = plan(rows.hint("rebalance", "day"))
+    counted = plan(rows.hint("rebalance", "day").observe(Observation("n"), F.count("*").alias("n")))
+    assert counted.count("Range") == plain.count("Range") == 1
+    assert counted.index("CollectMetrics") < counted.index("Exchange")
+    path, seen = str(tmp_path / "t"), Observation("rows")
+    tables.append(rows, path, "one", "day", seen, F.count("*").alias("n"))
+    assert seen.get == {"n": 10}
+
+
+# --- loads that are repeated ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("by", [None, "day"])
+def test_a_repeated_load_leaves_nothing_of_before(spark, tmp_path, by):
+    path = str(tmp_path / "t")
+    schema = S._struct(k=S.STRING, day=S.DATE)
+
+    def write(load, *rows):
+        tables.append(spark.createDataFrame(list(rows), schema), path, load, by)
+        return sorted(r.k for r in tables.read_table(spark, path, schema).collect())
+
+    one, two, other = ("a", DAY1), ("b", DAY2), ("c", DAY2)
+    assert write("batch-1", one, two) == ["a", "b"]
+    assert write("batch-10", other) == ["a", "b", "c"]
+    assert write("batch-1", one) == ["a", "c"]  # fewer days
+    assert write("batch-1", one, two) == ["a", "b", "c"]
+    assert write("batch-1") == ["c"]  # none at all
+    assert write("batch-10") == []
+
+
+# --- bounded lateness ---------------------------------------------------------------------------------
+
+
+def test_repeats_within_the_bound_go_and_late_rows_are_counted(spark, folder, tmp_path):
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    assert {"user_id", "ts"} <= set(events.columns)
+    events = events.withColumn("ts", F.col("ts").cast("timestamp")).orderBy("ts").limit(300)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    paths = {n: str(tmp_path / n) for n in ("landed", "raw", "checkpoint", "plain", "checkpoint2")}
+
+    def run(lateness, raw, checkpoint):
+        stream = I.landed_stream(spark, paths["landed"], events.schema)
+        query = I.append_raw(stream, paths[raw], paths[checkpoint], "ingested_at", None, lateness)
+        query.awaitTermination()
+        return query
+
+    keys = ["user_id", "ts"]
+    bound = I.Lateness(keys, "ts", "1 minute")
+    distinct = events.select(*keys).distinct().count()
+    events.unionByName(events).coalesce(1).write.parquet(paths["landed"])
+    query = run(bound, "raw", "checkpoint")
+    assert spark.read.parquet(paths["raw"]).count() == distinct and I.late_rows(query) == 0
+    # The time has moved on: what comes now from the beginning is too late, a new row is not.
+    new = events.limit(1).withColumn("ts", F.lit(last) + F.expr("INTERVAL 1 SECOND"))
+    old = events.where(F.col("ts") == F.lit(first)).limit(1)
+    old.unionByName(new).coalesce(1).write.mode("append").parquet(paths["landed"])
+    query = run(bound, "raw", "checkpoint")
+    assert spark.read.parquet(paths["raw"]).count() == distinct + 1
+    assert I.late_rows(query) == 1
+    run(None, "plain", "checkpoint2")  # without a bound everything is kept
+    assert spark.read.parquet(paths["plain"]).count() == 2 * events.count() + 2

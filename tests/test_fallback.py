@@ -1,6 +1,6 @@
 from greenshoe.plans import terms as T
 
-FENCE = "```"
+FENCE, NAN, INF = "```", float("nan"), float("inf")
 ANSWERS = {
     f'{FENCE}json\n{{"offering_type":"ipo","shares_offered":20000,"price_low":1.5,"price_high":2}}\n{FENCE}':
         ("ipo", 20000, 1.5, 2.0, "llm"),
@@ -20,6 +20,24 @@ ANSWERS = {
     '{"price_low": "1.5", "shares_offered": 7}': ("unknown", None, None, None, "error"),
     '{"price_high": [2], "price_low": 1}': ("unknown", None, None, None, "error"),
     '{"shares_offered": null, "price_low": null}': ("unknown", None, None, None, "llm"),
+    # Of repeated keys the last counts.
+    '{"offering_type":"ipo","offering_type":"spac","shares_offered":50000}': ("spac", 50000, None, None, "llm"),
+    '{"price_low": "x", "price_low": 3}': ("unknown", None, 3.0, None, "llm"),
+    '{"a": {"b": 1, "b": 2}, "price_low": 4}': ("unknown", None, 4.0, None, "llm"),
+    '{"price_low": {"b": 1, "b": 2}}': ("unknown", None, None, None, "error"),
+    # Numbers that are none of JSON's own.
+    "NaN": ("unknown", None, None, None, "error"),
+    "[NaN]": ("unknown", None, None, None, "error"),
+    '{"offering_type":"ipo","price_low":NaN}': ("ipo", None, NAN, None, "llm"),
+    '{"price_low": -Infinity, "price_high": Infinity}': ("unknown", None, -INF, INF, "llm"),
+    '{"price_low": "NaN"}': ("unknown", None, None, None, "error"),
+    '{"shares_offered": NaN}': ("unknown", None, None, None, "error"),
+    # Nothing may follow the value.
+    '{"price_low": 1} x': ("unknown", None, None, None, "llm_parse_error"),
+    '{"price_low": 1}}': ("unknown", None, None, None, "llm_parse_error"),
+    '{"price_low": 1}, {"price_low": 2}': ("unknown", None, None, None, "llm_parse_error"),
+    '"{\\"price_low\\": 1}"': ("unknown", None, None, None, "error"),
+    "{'price_low': 1}": ("unknown", None, None, None, "llm_parse_error"),
 }
 
 
@@ -29,7 +47,9 @@ def rows_by(df, key):
 
 def test_parse_responses(spark):
     df = spark.createDataFrame([(raw, raw) for raw in ANSWERS], "accession_number string, raw string")
-    assert rows_by(T.parse_responses(df), "accession_number") == ANSWERS
+    found = rows_by(T.parse_responses(df), "accession_number")
+    assert found.keys() == ANSWERS.keys()
+    assert {k: str(v) for k, v in found.items()} == {k: str(v) for k, v in ANSWERS.items()}
 
 
 def covers(spark):
