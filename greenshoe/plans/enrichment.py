@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenshoe import fixed_values as V
+from greenshoe.operators.semi_join import semi_join
 from greenshoe.schemas import POST_IPO_FINANCIALS
 from greenshoe.sources.landed import answered, company_facts
 
@@ -16,8 +17,8 @@ def eligible_ciks(mart: DataFrame, as_of: date) -> DataFrame:
 
 
 def eligible_facts(landed: DataFrame, ciks: DataFrame) -> DataFrame:
-    """Landed rows of eligible companies. ``enrich`` parses first and never shuffles bodies."""
-    return landed.join(ciks, "cik", "left_semi")
+    """Landed rows of eligible companies; bodies of other companies are not shuffled."""
+    return semi_join(landed, ciks, "cik")
 
 
 def post_ipo_financials(landed: DataFrame) -> DataFrame:

@@ -82,23 +82,41 @@ def suite() -> list[Check]:
 def report(tables: dict[str, DataFrame]) -> DataFrame:
     """``(test, table, column, failures)`` for the whole suite.
 
-    All row-wise checks of a table share one scan; each uniqueness check is one aggregation.
+    Every table is read once. Its rows are counted by the key that has to be unique, together with
+    the failures of all row-wise checks, and the counts of the keys are summed. Keys are counted
+    before the shuffle too, so a key with very many rows stays cheap.
     """
     parts = []
     for name, df in tables.items():
         checks = [c for c in suite() if c.table == name]
-        row_wise = [c for c in checks if c.failing is not None]
-        if row_wise:
-            counts = df.agg(*[F.count_if(c.failing).alias(c.label) for c in row_wise])
-            rows = F.array(*[_row(c, F.col(f"`{c.label}`")) for c in row_wise])
-            parts.append(counts.select(F.inline(rows)))
-        for c in checks:
-            if c.failing is None:
-                failures = unique(df, c.column).agg(F.count("*").alias("n"))
-                parts.append(failures.select(F.inline(F.array(_row(c, F.col("n"))))))
+        keys = [c.column for c in checks if c.failing is None]
+        if not checks:
+            continue
+        parts += [_counted(df, checks, key) for key in keys[:1] or [None]]
+        # A second key cannot share the grouping of the first.
+        parts += [_counted(df, [c for c in checks if c.column == key and c.failing is None], key)
+                  for key in keys[1:]]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _counted(df: DataFrame, checks: list[Check], key: str | None) -> DataFrame:
+    """The failures of the checks; of the uniqueness checks only that of ``key`` is counted."""
+    row_wise = [c for c in checks if c.failing is not None]
+    failures = [F.count_if(c.failing).alias(c.label) for c in row_wise]
+    sums = [F.coalesce(F.sum(f"`{c.label}`"), F.lit(0)).alias(c.label) for c in row_wise]
+    counted = [*row_wise]
+    if key is None:
+        counts = df.agg(*failures)
+    else:
+        (unique_key,) = [c for c in checks if c.failing is None and c.column == key]
+        counted.append(unique_key)
+        repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1))
+        by_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *failures)
+        counts = by_key.agg(*sums, repeated.alias(unique_key.label))
+    rows = F.array(*[_row(c, F.col(f"`{c.label}`")) for c in counted])
+    return counts.select(F.inline(rows))
+
+
 def _row(check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(check.test).alias("test"),

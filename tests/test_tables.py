@@ -182,6 +182,24 @@ def test_suite_counts_failures(spark, folder):
     assert len(quality.suite()) == 13
 
 
+def test_suite_reads_every_table_once(spark, folder, tmp_path, plan):
+    t, path = Tables(spark, folder), str(tmp_path / "companies")
+    t["fx_companies"].write.parquet(path)
+    report = quality.report({"companies": spark.read.parquet(path)})
+    assert plan(report).count("FileScan") == 1
+    nothing = quality.report({"companies": spark.read.parquet(path).limit(0)})
+    assert {r.test: r.failures for r in nothing.collect()} == {"unique": 0, "not_null": 0}
+
+
+def test_suite_takes_a_second_key(spark, monkeypatch):
+    checks = [quality.Check("unique", "t", "a"), quality.Check("unique", "t", "b"),
+              quality.Check("not_null", "t", "a", F.col("a").isNull())]
+    monkeypatch.setattr(quality, "suite", lambda: checks)
+    df = spark.createDataFrame([(1, 1), (1, 2), (None, 2), (None, 3)], "a int, b int")
+    found = {(r.test, r.column): r.failures for r in quality.report({"t": df, "u": df}).collect()}
+    assert found == {("unique", "a"): 1, ("unique", "b"): 1, ("not_null", "a"): 2}
+
+
 @pytest.mark.parametrize("name", ["extract_terms", "backfill_terms", "fallback_requests"])
 def test_no_text_is_shuffled_before_the_parser(spark, folder, plan, name):
     """In the registered queries too: what is shuffled below the parser has no HTML in it."""
