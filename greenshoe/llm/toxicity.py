@@ -43,6 +43,8 @@ BUCKETS = 1 << 18
 # Of the hashed features, the ones that tell the classes apart best are fitted.
 FEATURES, MIN_DOCUMENTS = 1 << 15, 3
 SMOOTHING, L2, STEPS, RATE = 1.0, 1.0, 150, 0.02
+# Rows whose features are unpacked at once while fitting.
+SLICE = 256
 THRESHOLD = 0.3
 # Contract: rows with this remainder of crc32(id) mod 4 are held out.
 FOLDS, HELD_OUT = 4, 2
@@ -170,18 +172,23 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
         return none
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    columns = [c[c >= 0] for c in (place[features] for features in rows)]
-    owner = np.repeat(np.arange(n, dtype=np.int32), [len(c) for c in columns])
-    column = np.concatenate(columns)
+    # Two bytes for each feature of a row; all else is made for some rows at a time.
+    columns = [c[c >= 0].astype(np.uint16) for c in (place[features] for features in rows)]
     value = ratio[chosen]
     weight, intercept = np.zeros(len(chosen)), none.intercept
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
         scaled = weight * value
-        total = np.bincount(owner, scaled[column], n) + intercept
-        off = 1 / (1 + np.exp(-total)) - y
-        slope = np.bincount(column, off[owner], len(chosen)) * value
-        slope = np.append((slope + L2 * weight) / n, off.mean())
+        slope, error = np.zeros(len(chosen)), 0.0
+        for a in range(0, n, SLICE):
+            part = columns[a : a + SLICE]
+            owner = np.repeat(np.arange(len(part)), [len(c) for c in part])
+            column = np.concatenate(part)
+            total = np.bincount(owner, scaled[column], len(part)) + intercept
+            off = 1 / (1 + np.exp(-total)) - y[a : a + SLICE]
+            slope += np.bincount(column, off[owner], len(chosen))
+            error += off.sum()
+        slope = np.append((slope * value + L2 * weight) / n, error / n)
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         change = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         weight, intercept = weight - change[:-1], intercept - change[-1]
