@@ -1,5 +1,6 @@
 """Queries on staging, mart, enrichment, upsert and quality."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from greenshoe.functions import text as X
 from greenshoe.functions import valuation
 from greenshoe.operators.upsert import upsert
 from greenshoe.plans import enrichment, mart, quality, reports, staging
-from greenshoe.session import materialize
-from greenshoe.sources import tables
+from greenshoe.session import materialize, shared_folder
+from greenshoe.sources import changes, tables
 
 AS_OF = date(2000, 8, 31)
 ELIGIBLE_UNTIL = "2000-02-29"
@@ -327,6 +328,24 @@ def _(t):
     return upsert(t["fx_companies_old"], t["fx_companies_incoming"], ["cik"], [])
 
 
+@query(
+    "merged_companies",
+    ["fx_companies_old", "fx_companies_incoming"],
+    """SELECT * FROM fx_companies_incoming
+UNION ALL SELECT * FROM fx_companies_old
+  WHERE cik NOT IN (SELECT cik FROM fx_companies_incoming)""",
+)
+def _(t):
+    """The same by appended changes: the old rows, the batch, the batch again, compacted between."""
+    old, batch = t["fx_companies_old"], t["fx_companies_incoming"]
+    path = f"{shared_folder(t.spark)}/merged-companies-{uuid.uuid4().hex}"
+    changes.merge(old, path, "initial", old.schema, changes.before_all())
+    changes.merge(batch, path, "batch-1", old.schema)
+    changes.compact(t.spark, path, old.schema, ["cik"])
+    changes.merge(batch, path, "batch-1", old.schema)
+    return changes.read(t.spark, path, old.schema, ["cik"])
+
+
 # --- names and keys ---------------------------------------------------------------------------------
 
 # Fixed value: name parts looked for in the sampled names; here parts of generated names.

@@ -1,0 +1,37 @@
+"""The queries of the library are there with and without the optional subpackage."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+
+# Refuses to import a package, as if it were not installed.
+WITHOUT = """
+import sys, warnings
+class Refuse:
+    def find_spec(self, name, path=None, target=None):
+        if name == {package!r} or name.startswith({package!r} + "."):
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Refuse())
+with warnings.catch_warnings(record=True) as said:
+    warnings.simplefilter("always")
+    import __spark_entry__ as entry
+from greenshoe.cases.registry import QUERIES
+assert set(entry.queries()) == set(QUERIES) and len(QUERIES) > 50
+print(sum("training-data" in str(w.message) for w in said))
+"""
+
+
+@pytest.mark.parametrize("package", ["greenshoe.llm", "public_tokenizers", "zstandard"])
+def test_queries_without_a_package(package):
+    """A missing package is said, a missing subpackage is not."""
+    there = (ROOT / "greenshoe/llm").exists() and (ROOT / "corpus_pipeline.py").exists()
+    warned = int(there and package != "greenshoe.llm")
+    code = WITHOUT.format(package=package)
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120, check=True
+    )
+    assert out.stdout.strip() == str(warned)
