@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -80,8 +81,8 @@ def test_short_items(spark, scratch):
 
 
 def test_every_place_is_left_out_by_some_mask():
-    for place in range(decontaminate.SPAN):
-        assert any(place not in mask for mask in decontaminate.MASKS)
+    """Whichever token of the widest window is replaced, some seed stays."""
+    assert hit_share(decontaminate.SPAN, 1) == 1.0
 
 
 def test_odd_rows(spark, odd, nothing, scratch):
@@ -121,3 +122,36 @@ def test_overlaps_at_the_limit(spark, scratch):
     found = overlaps(docs, spark.createDataFrame(items, ITEMS), scratch).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (1, 1), (2, 2)]
     assert all(5 * r["n_equal"] >= 4 * r["n_compared"] for r in found)
+
+
+def hit_share(n, replaced):
+    """Of all ways to replace tokens in a passage, those that leave some seed as it was."""
+    patterns = list(itertools.combinations(range(n), replaced))
+    passage = np.arange(1, n + 1).astype(np.uint64)
+    windows = [
+        {frozenset(start + place for place in mask) for start in range(n - mask[-1])}
+        for mask in decontaminate.MASKS
+    ]
+    assert [len(s) for _, s in decontaminate.window_seeds(passage)] == [len(w) for w in windows]
+    return sum(any(w.isdisjoint(p) for ws in windows for w in ws) for p in patterns) / len(patterns)
+
+
+def test_replacements_at_the_limit_leave_a_seed():
+    assert hit_share(13, 2) == 1.0  # all 78 ways
+    shares = [hit_share(15, 3), hit_share(16, 3), hit_share(20, 4)]
+    assert all(s > least for s, least in zip(shares, [0.93, 0.97, 0.98]))
+
+
+def test_every_pair_of_replaced_tokens_is_found(spark, scratch):
+    """Passages of 13 tokens with each pair replaced, among other text."""
+    passage = [f"p{k}" for k in range(13)]
+    rows = []
+    for n, pair in enumerate(itertools.combinations(range(13), 2)):
+        copy = [f"r{n}x{k}" if k in pair else t for k, t in enumerate(passage)]
+        around = [f"a{n}x{k}" for k in range(30)]
+        rows.append((n, " ".join([*around, *copy, *around])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(passage), "x")], ITEMS)
+    found = decontaminate.overlaps(docs, items, scratch).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(78))
+    assert {(r["n_equal"], r["n_compared"]) for r in found} <= {(11, 13), (11, 12), (11, 11), (12, 13), (11, 13)}
