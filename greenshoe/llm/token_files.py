@@ -10,8 +10,9 @@ The footer, compressed too, is a JSON head and four arrays: the chunk index (ids
 compressed length of each plane) and the document table (ids, null flags, numbers of ids). So a
 reader can go to any block or document. All numbers are little-endian.
 
-A table is written as one file per range of document ids; the files in their order hold all
-documents in ascending order of id (null first, equal ids in the order of a hash of the text).
+A table is written as one file per range of its order; the files in their order hold all documents
+in it. Without another order that is ascending by id (null first, equal ids in the order of a hash
+of the text), so rows that share an id or have none are spread over files too.
 
 Null and empty texts give the end id alone. Rows that repeat are written each. Other columns are
 ignored. An empty table gives no files. A task holds one block and the document table of its file.
@@ -29,7 +30,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenshoe.llm.shared import Scratch, bounded_batches, per_process, text_of, text_slices
@@ -193,6 +195,21 @@ class Encoder:
             yield b"".join(parts)
 
 
+def stored_order(docs: DataFrame) -> list[Column]:
+    """What rows sort by as they lie in the files of a table that Spark has written.
+
+    Only for a table as it was read; there is no such order for other rows, and none is given.
+    """
+    name = F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
+    order = [number, name, F.col("_metadata.row_index")]
+    try:
+        docs.select(*order)
+    except AnalysisException:
+        return []
+    return order
+
+
 def write_files(
     docs: DataFrame,
     scratch: Scratch,
@@ -200,10 +217,11 @@ def write_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = END_ID,
+    order: list[Column] | None = None,
 ) -> DataFrame:
-    """Encode and write all documents; gives the list of files.
+    """Encode and write all documents, by id or in another order; gives the list of files.
 
-    Files (shard, path, n_documents, n_ids): shards ascend with the ids. The list is written last
+    Files (shard, path, n_documents, n_ids): shards ascend in the order. The list is written last
     and names only files of tasks that ended well, so what a lost executor leaves is not read.
     """
     spark = docs.sparkSession
@@ -212,8 +230,14 @@ def write_files(
         content = spark.sparkContext.broadcast(file.read())
     folder = scratch.path("files")
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.cast("binary").alias("_text"))
-    ordered = rows.repartitionByRange("_id").sortWithinPartitions("_id", F.xxhash64("_text"))
+    keys = order or [F.col(id_col).cast("long"), F.xxhash64(text)]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("_id"),
+        text.cast("binary").alias("_text"),
+        *[key.alias(f"_key{k}") for k, key in enumerate(keys)],
+    )
+    by = [f"_key{k}" for k in range(len(keys))]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(*by)
     end = int(end_id).to_bytes(WIDTH, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracles import compare
-from greenshoe.llm import decontaminate, jaccard_join, queries, source_mix, toxicity
+from greenshoe.llm import decontaminate, jaccard_join, queries, source_mix, token_files, toxicity
 from greenshoe.llm.shared import Scratch
 
 
@@ -55,9 +55,31 @@ def test_stages_one_by_one(spark, documents, folder, scratch):
     assert {r["doc_id"]: r["text"] for r in documents.where(documents.doc_id.isin(*texts)).collect()} == texts
 
 
+def in_files(docs):
+    """Ids in the order of a written table."""
+    order = token_files.stored_order(docs)
+    return [r["doc_id"] for r in docs.orderBy(*order).select("doc_id").collect()]
+
+
+def test_the_training_order_decides_the_token_files(spark, documents, scratch, monkeypatch):
+    """Files hold the documents by position; with another schedule they hold them otherwise."""
+    written, of = [], source_mix.curriculum
+    for n, curricula in enumerate([source_mix.CURRICULA, source_mix.CURRICULA[::-1]]):
+        monkeypatch.setattr(source_mix, "curriculum", lambda c=curricula: of(c))
+        _, order = source_mix.training_plan(documents, Scratch(spark, "t"))
+        expected = [r["doc_id"] for r in order.collect()]
+        mixed = scratch.save(source_mix.mixed_documents(documents, order), f"mixed-{n}")
+        assert in_files(mixed) == expected
+        rows = corpus_pipeline.write_tokens(spark, mixed, "").orderBy("start").collect()
+        assert [r["doc_id"] for r in rows] == expected
+        written.append(expected)
+    assert written[0] != written[1] and sorted(written[0]) == sorted(written[1])
+    assert token_files.stored_order(documents.groupBy("doc_id").count()) == []
+
+
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).orderBy("start").collect()
-    assert rows and [r["doc_id"] for r in rows] == sorted(r["doc_id"] for r in rows)
+    assert rows and [r["doc_id"] for r in rows] != sorted(r["doc_id"] for r in rows)
     at = 0
     for r in rows:
         assert r["start"] == at
