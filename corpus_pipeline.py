@@ -4,7 +4,8 @@
     near duplicates   one document of each group of near duplicates stays
     decontamination   documents that contain a benchmark passage go
     mixing            documents in training order, as often as their source's target asks for
-    token files       ids in files of compressed byte planes; the rows say where each document is
+    token files       ids in files of compressed byte planes, in training order; the rows say where
+                      each document is
 
 Each stage works on all that the one before has kept. All but the last return the columns of the
 documents, other columns too, whatever their names. Null texts and ids, empty tables, repeated
@@ -52,7 +53,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    files = token_files.write_files(docs, Scratch(spark, "pipeline-tokens"), IDS_VOCABULARY)
+    """In the order that the mixed documents have in their files, the training order."""
+    files = token_files.write_files(
+        docs,
+        Scratch(spark, "pipeline-tokens"),
+        IDS_VOCABULARY,
+        order=token_files.stored_order(docs),
+    )
     return token_files.read_documents(files)
 
 
