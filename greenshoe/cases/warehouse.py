@@ -13,6 +13,7 @@ from greenshoe.operators.upsert import upsert
 from greenshoe.plans import enrichment, mart, quality, reports, staging
 from greenshoe.session import materialize, shared_folder
 from greenshoe.sources import changes, tables
+from greenshoe.sources.landed import parsed_facts
 
 AS_OF = date(2000, 8, 31)
 ELIGIBLE_UNTIL = "2000-02-29"
@@ -314,6 +315,31 @@ def _(t):
     return enrichment.enrich(t["fx_landed_facts"], base_table(t), AS_OF)
 
 
+def _parsed(t):
+    """The landed facts as they are kept once they are parsed: VARIANTs in a table."""
+    return materialize(parsed_facts(t["fx_landed_facts"]), "parsed-facts")
+
+
+@query(
+    "xbrl_facts_parsed",
+    REVENUE_READS,
+    f"""SELECT cik, fiscal_year_end, trailing_revenue, shares_outstanding, revenue_tag
+FROM ({REVENUE}) r WHERE revenue_tag IS NOT NULL""",
+)
+def _(t):
+    return enrichment.post_ipo_financials(_parsed(t))
+
+
+@query(
+    "weekly_enrichment_parsed",
+    [*RAW, *REVENUE_READS],
+    f"""SELECT cik, fiscal_year_end, trailing_revenue, shares_outstanding, revenue_tag
+FROM ({REVENUE}) r WHERE revenue_tag IS NOT NULL AND cik IN ({ELIGIBLE})""",
+)
+def _(t):
+    return enrichment.enrich(_parsed(t), base_table(t), AS_OF)
+
+
 # --- upsert --------------------------------------------------------------------------------------
 
 

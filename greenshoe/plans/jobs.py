@@ -1,7 +1,7 @@
 """The jobs over folders of tables: ingest, weekly enrichment and mart build.
 
     landed/   filing_index documents submissions company_facts fallback_responses
-    staging/  extracted fallback_requests
+    staging/  extracted fallback_requests company_facts
     raw/      prospectus_filings offering_terms post_ipo_financials company_changes
     marts/    fct_ipo_offerings
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from greenshoe import fixed_values as V
 from greenshoe import schemas as S
 from greenshoe.plans import enrichment, ingest, mart, reports, terms
-from greenshoe.sources import changes, tables
+from greenshoe.sources import changes, landed, tables
 
 LANDED = {
     "filing_index": S.FILING_INDEX,
@@ -166,7 +166,21 @@ def build_mart(w: Warehouse) -> None:
     tables.rebuild(fact, w.path(tables.MARTS, FACT))
 
 
-def enrich(w: Warehouse, as_of: date) -> None:
-    """The weekly job."""
-    found = enrichment.enrich(w.landed("company_facts"), w.fact(), as_of)
+def parse_facts(w: Warehouse) -> None:
+    """Parse the landed company facts once; ``enrich`` then reads tags instead of text.
+
+    Optional. Repeated, it replaces its table.
+    """
+    parsed = landed.parsed_facts(w.landed("company_facts"))
+    tables.rebuild(parsed, w.path(tables.STAGING, "company_facts"))
+
+
+def enrich(w: Warehouse, as_of: date, parsed: bool = False) -> None:
+    """The weekly job, from landed bodies or from what ``parse_facts`` has made of them."""
+    if parsed:
+        path = w.path(tables.STAGING, "company_facts")
+        facts = tables.read_table(w.spark, path, S.PARSED_BODY)
+    else:
+        facts = w.landed("company_facts")
+    found = enrichment.enrich(facts, w.fact(), as_of)
     tables.append(found, w.path(tables.RAW, "post_ipo_financials"), f"enriched-{as_of}")

@@ -21,6 +21,8 @@ FILING_INDEX = _struct(
     filing_url=STRING,
 )
 LANDED_BODY = _struct(cik=STRING, http_status=INT, body=STRING, landed_at=TIMESTAMP)
+# Bodies of company facts as they are kept once they are parsed.
+PARSED_BODY = T.StructType(LANDED_BODY.fields + [T.StructField("parsed", T.VariantType())])
 LANDED_DOCUMENT = _struct(
     cik=STRING, accession_number=STRING, filing_date=DATE, http_status=INT, html=STRING
 )

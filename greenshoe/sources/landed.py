@@ -53,8 +53,32 @@ def company_metadata(landed: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def parsed_facts(landed: DataFrame) -> DataFrame:
+    """Landed company facts with their bodies parsed: ``parsed`` (VARIANT) instead of ``body``.
+
+    A body that a VARIANT cannot hold, for instance one with repeated keys, stays as text.
+    """
+    parsed = FX.facts_variant(F.col("body"))
+    return (
+        landed.withColumn("parsed", once(parsed))
+        .withColumn("body", F.when(F.col("parsed").isNull(), F.col("body")))
+        .select(*landed.columns, "parsed")
+    )
+
+
+def _facts(landed: DataFrame) -> Column:
+    """The facts of a landed table, whether its bodies are parsed or not."""
+    text = FX.parse_facts(F.col("body"))
+    if "parsed" not in landed.columns:
+        return text
+    return F.when(F.col("parsed").isNotNull(), FX.read_facts(F.col("parsed"))).otherwise(text)
+
+
 def company_facts(landed: DataFrame) -> DataFrame:
-    """``cik`` and the three figures of each company-facts body, as found (NULL: not found)."""
+    """``cik`` and the three figures of each company-facts body, as found (NULL: not found).
+
+    Takes bodies as text or as ``parsed_facts`` leaves them.
+    """
     facts = F.col("facts")
     figures = F.struct(
         FX.trailing_revenue(facts).alias("revenue"),
@@ -63,7 +87,7 @@ def company_facts(landed: DataFrame) -> DataFrame:
     )
     return (
         answered(landed)
-        .select("cik", FX.parse_facts(F.col("body")).alias("facts"))
+        .select("cik", _facts(landed).alias("facts"))
         .select("cik", once(figures).alias("f"))
         .select("cik", "f.*")
     )

@@ -1,7 +1,7 @@
 import json
 
 from greenshoe.plans.enrichment import enrich, post_ipo_financials
-from greenshoe.sources.landed import company_facts, company_metadata, triage
+from greenshoe.sources.landed import company_facts, company_metadata, parsed_facts, triage
 
 
 def fact(end, val, form="10-K", fp="FY"):
@@ -80,6 +80,61 @@ def test_broken_bodies_are_skipped(spark):
     assert [row.cik for row in company_metadata(df).collect()] == ["0"]
 
 
+def stored(df, tmp_path):
+    path = str(tmp_path / "parsed")
+    parsed_facts(df).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def test_parsed_bodies_give_the_same(spark, tmp_path):
+    """As VARIANTs in a table, and as text where a VARIANT cannot hold a body."""
+    good = json.dumps({"facts": BODIES["1"]})
+    extra = [
+        ("8", 404, None), ("9", 500, good), ("10", 200, "<html>"), ("11", 200, good[:-5]),
+        ("12", 200, good + " x"), ("13", 200, "[" + good + "]"), ("14", 200, "null"), ("15", 200, ""),
+        ("16", 200, good.replace("'", '"') + "\n"), ("17", 200, good[:-1] + ', "facts": {}}'),
+        ("18", 200, good.replace("}}}}", '}}}, "other": {"x": 1, "x": 2}}}')),
+        ("19", 200, '{"facts": 5}'), ("20", 200, '{"facts": {"us-gaap": {"Revenues": [1]}}}'),
+        ("21", 200, json.dumps({"facts": {"us-gaap": {"Revenues": usd(fact("2024-12-31", "12"))}}})),
+    ]
+    df = landed(spark, extra)
+    table = stored(df, tmp_path)
+    assert table.schema["parsed"].dataType.simpleString() == "variant"
+    kept = {r.cik: r.has for r in table.selectExpr("cik", "body IS NOT NULL AS has").collect()}
+    assert not any(kept[cik] for cik in BODIES) and kept["18"]
+    results = [sorted(map(str, company_facts(x).collect())) for x in (df, table)]
+    assert results[0] == results[1]
+    assert EXPECTED == {
+        row.cik: tuple(row)[1:] for row in post_ipo_financials(table).collect() if row.cik in BODIES
+    }
+
+
+def test_what_is_no_fact_is_passed_over_in_parsed_bodies(spark, tmp_path):
+    """As text such a body is skipped whole."""
+    body = json.dumps({"facts": {"us-gaap": {"Revenues": usd(fact("2024-12-31", 12), 7)}}})
+    df = spark.createDataFrame([("1", 200, body)], "cik string, http_status int, body string")
+    assert post_ipo_financials(df).count() == 0
+    assert post_ipo_financials(stored(df, tmp_path)).first().trailing_revenue == 12.0
+
+
+def test_figures_of_parsed_bodies_keep_their_digits(spark, tmp_path):
+    numbers = ["7", "7.0", "1.5", "12345678901234", "1e3", "1.25e10", "0.1", "-3", "123456789.125"]
+    rows = []
+    for n, number in enumerate(numbers):
+        body = json.dumps({"facts": {"us-gaap": {"Revenues": usd(fact("2024-12-31", "@"))},
+                                     "dei": {"EntityCommonStockSharesOutstanding": shares(fact("2024-12-31", "@"))}}})
+        rows.append((str(n), 200, body.replace('"@"', number)))
+    df = spark.createDataFrame(rows, "cik string, http_status int, body string")
+    results = [sorted(map(tuple, post_ipo_financials(x).collect())) for x in (df, stored(df, tmp_path))]
+    assert results[0] == results[1] and [r[2] for r in results[0]] == [float(n) for n in numbers]
+
+
+def test_parsed_text_is_not_read_again(spark, plan, tmp_path):
+    """The scan itself looks the tags up; no other leaves it."""
+    text = plan(company_facts(stored(landed(spark), tmp_path)))
+    assert "Exchange" not in text and "parsed:struct<0:struct<facts:struct<us-gaap" in text
+
+
 def test_no_shuffle(spark, plan):
     assert "Exchange" not in plan(company_facts(landed(spark)))
 

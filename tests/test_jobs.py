@@ -75,7 +75,11 @@ def test_cycle(spark, tmp_path):
     }
     jobs.enrich(w, date(2024, 7, 1))  # too early for all
     assert w.raw("post_ipo_financials").count() == 0
-    jobs.enrich(w, date(2024, 7, 3))
+    jobs.parse_facts(w)
+    jobs.enrich(w, date(2024, 7, 3), parsed=True)
+    from_parsed = sorted(map(str, w.raw("post_ipo_financials").collect()))
+    jobs.enrich(w, date(2024, 7, 3))  # the same load, from text
+    assert sorted(map(str, w.raw("post_ipo_financials").collect())) == from_parsed
     assert sorted(r.cik for r in w.raw("post_ipo_financials").collect()) == ["1", "3"]
     jobs.build_mart(w)
     assert {a: flag for a, (_, _, flag) in flags(w).items()} == {
