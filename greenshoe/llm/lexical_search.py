@@ -266,10 +266,13 @@ def _rank(found: tuple) -> tuple:
 
 
 def _each_task(vectors: DataFrame, shared, top: int, seeding: bool) -> DataFrame:
-    """(item, doc_id, score) of the best documents that each task has."""
+    """(item, doc_id, score) of the best documents that each task has.
+
+    ``shared`` holds the fields of the items: plain values, as workers need not have the package.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = shared.value
+        items = Items(**shared.value)
         vocabulary = pa.array(items.vocabulary, pa.binary())
         best, lengths = Best(items, top), items.lengths()
         active, kind = list(range(len(items.numbers))), None
@@ -354,12 +357,12 @@ def search(
         gathered = collect_items(mine, top)
         if not gathered.numbers:
             continue
-        shared = spark.sparkContext.broadcast(gathered)
+        shared = spark.sparkContext.broadcast(vars(gathered))
         first = _ranked(_each_task(held, shared, top, seeding=True), top).where(F.col("rank") == top)
         least = {r["item"]: r["score"] for r in first.select("item", "score").collect()}
         shared.destroy()
         gathered.least = [least.get(number, 0) for number in gathered.numbers]
-        shared = spark.sparkContext.broadcast(gathered)
+        shared = spark.sparkContext.broadcast(vars(gathered))
         long = held.where(F.col("length") >= gathered.shortest())
         ordered = long.sortWithinPartitions(F.desc("length"))
         found = _ranked(_each_task(ordered, shared, top, seeding=False), top)

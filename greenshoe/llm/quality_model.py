@@ -220,11 +220,12 @@ def score(
 ) -> DataFrame:
     """Per row its id and ``score``. Map-only; the model is broadcast, at most 16 bytes a bucket."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # As plain values: a class of this module travels with the function, not with a broadcast.
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Model(**shared.value)
         for batch in batches:
             scores = [known.score(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -249,11 +249,11 @@ def score(
 ) -> DataFrame:
     """Per row its id and ``score``. Map-only."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = worker_scorer(shared.value)
+        scorer = worker_scorer(Model(**shared.value))
         for batch in batches:
             scores = scorer(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -267,11 +267,11 @@ def score(
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows that are not predicted to be toxic, with all their columns. Map-only."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = worker_scorer(shared.value)
+        scorer = worker_scorer(Model(**shared.value))
         for batch in batches:
             clean = [s < THRESHOLD for s in scorer(batch.column(at).to_pylist())]
             yield batch.filter(pa.array(clean, pa.bool_()))
