@@ -8,8 +8,9 @@ comparing document and item token by token around it.
 Tokens are runs of letters, digits and underscores, lower-cased; punctuation does not count.
 Items shorter than the window match as a whole and without replacements; items of fewer than
 ``MIN_TOKENS`` tokens say too little and match nothing. Null texts count as empty and match
-nothing. Rows with the same id and text are one document (or item); ids may be null. Other
-columns are ignored.
+nothing. Rows with the same id and text are one document (or item); ids may be null. A very long
+text is hashed whole by one task; only stretches around hits are passed on. Without documents or
+items nothing is found. Other columns are ignored.
 """
 
 import sys

@@ -22,7 +22,8 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A document of one to fo
 sequence as only shingle; null, empty and blank texts have none and are linked with nothing. Sets
 are compared by 64-bit hashes of shingles, and equal sets found by 128-bit hashes. Rows that
 repeat are copies of each other. A null id never stands for a component unless all its ids are
-null. Other columns are ignored.
+null. A very long text is a set like any other; its shingles' hashes are held by one task. An empty
+table gives no rows. Other columns are ignored.
 """
 
 import sys

@@ -9,7 +9,8 @@ then merged. The sample only decides where rows are worked on, never what the re
 
 Null and empty texts are one empty line. Keys are compared by their 64-bit hash. Rows with the
 same id and text are one document and all of them get its bitmap; a null id ranks below all
-others. Other columns are ignored. Only DataFrame operations are used.
+others. A very long text is cut into its lines, which are worked on apart; its bitmap is made of
+runs. An empty table gives no rows. Other columns are ignored. Only DataFrame operations are used.
 """
 
 from pyspark.sql import Column, DataFrame, Window

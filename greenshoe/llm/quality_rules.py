@@ -5,7 +5,9 @@ A line is rejected for its punctuation (symbols or shouting marks on most words)
 than half of its word characters stand in lines that stay.
 
 Null and empty texts have no words and are not kept. Rows that repeat are judged each on its own,
-null ids too. Other columns are ignored. Word windows are compared by 64-bit hashes.
+null ids too. A very long text is judged whole, by one task, which holds a hash for each of its
+words. An empty table gives no rows. Other columns are ignored. Word windows are compared by 64-bit
+hashes.
 """
 
 import re

@@ -12,8 +12,8 @@ the excess goes to the others by weight. A document is taken whole or not at all
 source's words differ from its target by less than half a document.
 
 Null and empty texts have size 0 and take no words. Rows that repeat are documents of their own;
-among equal rows it does not matter which one is taken. Null ids sort first. An empty table gives
-an empty result.
+among equal rows it does not matter which one is taken. Null ids sort first. A very long text is
+one document like any other, taken whole or not at all. An empty table gives an empty result.
 """
 
 from pyspark.sql import Column, DataFrame, Window

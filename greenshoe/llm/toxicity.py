@@ -10,7 +10,8 @@ of the id, which bounds what the driver holds; scoring covers all rows. Without
 classes every text gets the share of toxic labels (smoothed) as its score.
 
 Null and empty texts have no features and get the score of the intercept. Rows that repeat are
-scored each on its own, null ids too. Other columns are ignored.
+scored each on its own, null ids too. A very long text is scored whole, by its distinct words. An
+empty table gives no rows. Other columns are ignored.
 """
 
 import sys
