@@ -21,13 +21,16 @@ ignored. An empty table gives no files. A task holds one block and the document
 import json
 import os
 import re
+import string
 import sys
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -40,8 +43,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC, BLOCK, LEVEL, WIDTH = b"BPT1", 16_384, 3, 4
 END_ID = 2
-# Words whose ids a worker remembers (some 120 MB at most), and words encoded in one call.
-REMEMBERED, AT_ONCE = 600_000, 2_000
+# Words whose ids a worker remembers (some 120 MB at most, and what one group of texts adds), words
+# encoded in one call, and bytes of texts whose words are looked up together.
+REMEMBERED, AT_ONCE, GROUP_BYTES = 600_000, 500, 8 << 20
+SIGNS = string.punctuation.encode()
 
 
 def filesystem(path: str):
@@ -159,40 +164,106 @@ class Encoder:
     """Ids of texts as 32-bit numbers, for vocabularies that drop white space between words.
 
     Such a vocabulary gives a word the same ids wherever it stands, so each distinct word is
-    encoded once and remembered. A-Z may be lower-cased first as the vocabulary does it anyway.
+    encoded once and remembered. Signs after letters must be a part of their own, which is looked
+    at on a probe. A-Z may be lower-cased first, as the vocabulary does it anyway, unless an accent
+    of its own follows, which may join a small letter only, or a special token would come about.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known = Tokenizer.from_str(vocabulary), {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # First bytes of U+0300 to U+037F, the accents that a letter of A-Z can join.
+        self.cased = [b"\xcc", b"\xcd", *(t.encode().lower() for t in special)]
+
+        # Ids that end a part of a text, if each part ends in one: all bytes need one.
+        vocab = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        every = [c + e for c in pre_tokenizers.ByteLevel.alphabet() for e in ("", suffix or "")]
+        split = self.tokenizer.pre_tokenizer
+        parts = split and [part for part, _ in split.pre_tokenize_str("ab.,;")]
+        self.ends = None
+        if suffix and parts == ["ab", ".,;"] and all(c in vocab for c in every):
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), AT_ONCE):
-            part = words[i : i + AT_ONCE]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4")
-            starts = np.array([a for a, _ in encoding.offsets], np.int64)
-            ends = np.cumsum([len(t) + 1 for t in texts])
-            cuts = [0, *(np.searchsorted(starts, ends) * WIDTH).tolist()]
-            data = ids.tobytes()
-            for word, a, b in zip(part, cuts, cuts[1:]):
-                self.known[word] = data[a:b]
+        """A word of letters and signs after them is put together from both."""
+        letters, others, joined = set(), set(), []
+        for word in words:
+            stem = word.rstrip(SIGNS)
+            text = unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower()
+            if self.ends is None or not text.isalpha():
+                others.add(word)
+                continue
+            letters.add(stem)
+            if stem != word:
+                others.add(word[len(stem) :])
+                joined.append((word, len(stem)))
+        for new, encode in ((letters, self._by_ends), (others, self._by_offsets)):
+            new = list(new.difference(self.known))
+            for i in range(0, len(new), AT_ONCE):
+                part = new[i : i + AT_ONCE]
+                data, cuts = encode([w.decode("utf-8", "replace") for w in part])
+                self.known.update((w, data[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+        self.known.update((w, self.known[w[:n]] + self.known[w[n:]]) for w, n in joined)
+
+    def _by_ends(self, texts: list[str]) -> tuple[bytes, list[int]]:
+        """Ids of words and where each begins, for words that are one part each."""
+        together = [" ".join(texts)]
+        encoding = self.tokenizer.encode_batch_fast(together, add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(texts):  # some are of several parts, and every word is of one at least
+            return self._by_offsets(texts)
+        return ids.tobytes(), [0, *(ends * WIDTH).tolist()]
+
+    def _by_offsets(self, texts: list[str]) -> tuple[bytes, list[int]]:
+        """Ids of words and where each begins, by the places of ids in the text, which cost more."""
+        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        starts = np.array([a for a, _ in encoding.offsets], np.int64)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = [0, *(np.searchsorted(starts, ends) * WIDTH).tolist()]
+        return np.array(encoding.ids, "<u4").tobytes(), cuts
+
+    def _together(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Each word that several texts share is looked up once."""
+        lower = [text.lower() for text in texts]
+        for i, text in enumerate(lower):
+            if any(mark in text for mark in self.cased):
+                lower[i] = texts[i]
+        lists = pc.ascii_split_whitespace(pa.array(lower, pa.binary()).view(pa.string()))
+        words = lists.flatten().dictionary_encode()
+        distinct = words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        data = list(map(self.known.get, distinct))
+        new = [word for word, ids in zip(distinct, data) if ids is None]
+        if new:
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known = {w: ids for w, ids in zip(distinct, data) if ids is not None}
+            self.learn(new)
+            data = list(map(self.known.__getitem__, distinct))
+        ids = pa.array(data, pa.large_binary()).take(words.indices)
+        _, offsets, content = ids.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[lists.offsets.to_numpy()].tolist()
+        content = memoryview(content or b"")
+        for a, b in zip(cuts, cuts[1:]):
+            yield bytes(content[a:b])
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        group, size = [], 0
         for text in texts:
-            parts = []
-            for piece in text_slices(text):
-                words = piece.lower().split()
-                new = set(words).difference(self.known)
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known, new = {}, set(words)
-                if new:
-                    self.learn(list(new))
-                parts += map(self.known.__getitem__, words)
-            yield b"".join(parts)
+            if size + len(text) > GROUP_BYTES and group:
+                yield from self._together(group)
+                group, size = [], 0
+            if len(text) > GROUP_BYTES:
+                yield b"".join(d for piece in text_slices(text) for d in self._together([piece]))
+            else:
+                group.append(text)
+                size += len(text)
+        if group:
+            yield from self._together(group)
 
 
 def stored_order(docs: DataFrame) -> list[Column]:

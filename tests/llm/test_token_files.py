@@ -1,4 +1,8 @@
 import io
+import itertools
+import json
+import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -66,6 +70,69 @@ def test_word_by_word_is_the_whole_text(tokenizer, encoder, text):
     assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "W\u030a T\u0344! w\u030a",  # accents that join a small letter only
+        "<|EndOfText|> a<|endoftext|>b <|ENDOFTEXT|>.",
+        "\u0130. \u0958., \u0915\u093c.",  # letters that come apart into a letter and a mark
+        "sou. sou, 'sou' sou's ... sou... $$$ s.o.u. \x00 a\x00b, " + "sou! " * 3,
+        "",
+        " \n",
+    ],
+)
+def test_odd_words(tokenizer, encoder, text):
+    with open(IDS_VOCABULARY, encoding="utf-8") as file:
+        without_suffix = json.loads(file.read())
+    without_suffix["model"]["end_of_word_suffix"] = None
+    other = json.dumps(without_suffix)
+    for whole, words in ((tokenizer, encoder), (Tokenizer.from_str(other), token_files.Encoder(other))):
+        (data,) = words.encode([text.encode()])
+        assert np.frombuffer(data, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_every_character(tokenizer, encoder):
+    """Before a sign, and every accent after A to Z."""
+    every = [chr(i) for i in range(0x20000) if not 0xD800 <= i < 0xE000]
+    accents = [c for c in every if unicodedata.combining(unicodedata.normalize("NFD", c)[0])]
+    words = [c + "." for c in every] + [a + c for a in string.ascii_uppercase for c in accents]
+    for i in range(0, len(words), 1_000):
+        text = " ".join(words[i : i + 1_000])
+        (data,) = encoder.encode([text.encode()])
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_and_groups(monkeypatch, tokenizer, encoder):
+    monkeypatch.setattr(token_files, "GROUP_BYTES", 100)
+    monkeypatch.setattr(token_files, "text_slices", lambda text: text_slices(text, 64))
+    texts = ["Word%d, %s" % (k, "tail. " * (k % 40)) for k in range(90)] + ["", "one"]
+    got = list(encoder.encode([t.encode() for t in texts]))
+    assert len(got) == len(texts)
+    for text, data in zip(texts, got):
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_signs_after_a_word_cost_no_new_encoding():
+    with open(IDS_VOCABULARY, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    whole, seen = encoder.tokenizer, []
+
+    class Counting:
+        def encode(self, text, **options):
+            seen.extend(text.split())
+            return whole.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(word for text in texts for word in text.split())
+            return whole.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    words = ["".join(p) for p in itertools.product("bdlm", "aeo", "nrst")]
+    texts = [f"{w} {w}. {w.upper()}, {w}... {w}!".encode() for w in words]
+    assert len(list(encoder.encode(texts))) == len(texts)
+    assert sorted(seen) == sorted([*words, ".", ",", "...", "!"])
+
+
 def test_memory_of_words_is_bounded(monkeypatch, tokenizer, encoder):
     monkeypatch.setattr(token_files, "REMEMBERED", 10)
     texts = [" ".join(f"word{i} again" for i in range(k, k + 9)) for k in range(50)]
